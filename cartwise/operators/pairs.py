@@ -1,19 +1,28 @@
 """Top co-occurring product pairs (number of baskets holding both products).
 
-Exact top-n with support pruning
---------------------------------
-A pair can never be in more baskets than either of its products, so
-``count(a, b) <= min(support(a), support(b))``. The operator first counts the
-pairs among the ``m`` best-supported products only (a broadcast list of at most
-``m`` keys). Any ``n`` pairs with exact counts give a lower bound ``T`` for the
-n-th best count of the full answer; therefore products with support below ``T``
-cannot take part in a top-n pair and are dropped before the full self-join.
-The answer is exact; the pruning only removes work (the long tail of rare
-products, which is what makes baskets produce many pairs).
-
-The self-join itself is an equi-join on the basket with the residual
-``a < b`` (each unordered pair once per basket, after de-duplicating
-(basket, product)); AQE's skew-join splits an oversized basket across tasks.
+The answer is exact; the plan keeps the number of emitted pairs bounded per
+basket wherever it can.
+
+- ``bp``: distinct (basket, product) with a non-null product (partial
+  aggregate, so repeated lines of a hot basket collapse map-side).
+- Light baskets (at most ``max_basket`` distinct products) contribute every
+  pair, as an equi self-join on the basket with the residual ``a < b``:
+  at most max_basket²/2 pairs per basket.
+- Heavy baskets contribute pairs only among products whose support (number of
+  baskets holding them) reaches ``T``, a lower bound for the n-th best pair
+  count. ``T`` comes from a probe over the ``m`` best-supported products only
+  (a broadcast list of ``m`` keys, at most m²/2 pairs per basket): any ``n``
+  exact pair counts bound the n-th best count from below.
+
+Why it is exact: a pair's count never exceeds either product's support, so a
+pair with a product below ``T`` has a true count below ``T``, and its partial
+(light-only) count is lower still; since at least ``n`` pairs reach ``T``, such
+a pair can never enter the top n, while every pair of two kept products is
+counted over all baskets. ``T`` reaches the plan as a scalar subquery.
+
+``bp`` is read by several branches, so it is written once to the reliable
+checkpoint folder; one cheap check over it decides whether any heavy basket
+exists — if none does, the plan is the plain self-join.
 """
 
 from __future__ import annotations
@@ -21,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def basket_products(items: DataFrame, basket: str = "cart_id", product: str = "product_id") -> DataFrame:
     return items.where(F.col(product).isNotNull()).select(basket, product).distinct()
@@ -33,7 +44,7 @@ def pair_counts(bp: DataFrame, basket: str = "cart_id", product: str = "product_
     return pairs.groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("abandoned_carts"))
 
 
-def _rank(counts: DataFrame) -> list:
+def _rank() -> list:
     return [F.col("abandoned_carts").desc(), F.col("product_a").asc_nulls_last(), F.col("product_b").asc_nulls_last()]
 
 
@@ -42,18 +53,34 @@ def top_pairs(
     n: int = 50,
     basket: str = "cart_id",
     product: str = "product_id",
-    prune: bool = True,
+    max_basket: int | None = 1000,
     probe_products: int | None = None,
 ) -> DataFrame:
     bp = basket_products(items, basket, product)
-    if prune and n > 0:
-        m = probe_products or max(4 * n, 200)
-        support = bp.groupBy(product).agg(F.count(F.lit(1)).alias("_s"))
-        head = support.orderBy(F.col("_s").desc(), F.col(product)).limit(m).select(product)
-        probe = pair_counts(bp.join(F.broadcast(head), product, "left_semi"), basket, product)
-        nth = probe.orderBy(*_rank(probe)).limit(n).agg(F.count(F.lit(1)).alias("k"), F.min("abandoned_carts").alias("t")).first()
-        if nth is not None and nth["k"] == n and nth["t"] is not None and nth["t"] > 1:
-            keep = support.where(F.col("_s") >= F.lit(nth["t"])).select(product)
-            bp = bp.join(keep, product, "left_semi")
-    counts = pair_counts(bp, basket, product)
-    return counts.orderBy(*_rank(counts)).limit(n)
+    if max_basket is None or n <= 0:
+        counts = pair_counts(bp, basket, product)
+        return counts.orderBy(*_rank()).limit(n)
+
+    checkpoint_dir(bp.sparkSession)
+    bp = bp.checkpoint(eager=True)
+    sizes = bp.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
+    if sizes.where(F.col("_size") > max_basket).limit(1).count() == 0:
+        counts = pair_counts(bp, basket, product)
+        return counts.orderBy(*_rank()).limit(n)
+    sized = bp.join(sizes, basket)
+    light = sized.where(F.col("_size") <= max_basket).select(basket, product)
+    heavy = sized.where(F.col("_size") > max_basket).select(basket, product)
+
+    support = bp.groupBy(product).agg(F.count(F.lit(1)).alias("_s"))
+    m = probe_products or max(4 * n, 200)
+    head = support.orderBy(F.col("_s").desc(), F.col(product).asc_nulls_last()).limit(m).select(product)
+    probe = pair_counts(bp.join(F.broadcast(head), product, "left_semi"), basket, product)
+    best = probe.orderBy(*_rank()).limit(n)
+    bound = best.agg(
+        F.when(F.count(F.lit(1)) == n, F.min("abandoned_carts")).otherwise(F.lit(1)).alias("t")
+    ).scalar()
+    kept = support.where(F.col("_s") >= bound).select(product)
+    heavy_kept = heavy.join(kept, product, "left_semi")
+
+    counts = pair_counts(light.unionByName(heavy_kept), basket, product)
+    return counts.orderBy(*_rank()).limit(n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -21,5 +21,27 @@ def prepare(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return dedup_by_key(coerce_frame(raw, spec), spec.key)
 
 
-def prepare_all(raw_tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: prepare(df, SPECS[name]) for name, df in raw_tables.items()}
+class LazyTables(Mapping):
+    """Name -> DataFrame, each built on first access (plans only, nothing runs).
+
+    A report that needs two of the eight tables never analyses the other six.
+    """
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def prepare_all(raw_tables: Mapping[str, DataFrame]) -> LazyTables:
+    return LazyTables({name: (lambda n=name: prepare(raw_tables[n], SPECS[n])) for name in raw_tables})

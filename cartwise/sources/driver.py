@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 from .catalog import path_join
 
 
+_SCANS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(path_join(sf_dir, f"{name}.parquet"))
+    """The scan of a driver table; the relation (file listing, footer schema) is
+    resolved once per session and path, like a catalog table."""
+    path = path_join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def _priority_code(c):
@@ -86,18 +95,15 @@ def regions(spark, sf_dir) -> DataFrame:
     )
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw (untyped, duplicated) source tables keyed by their source names."""
-    return {
-        "tb_regions": regions(spark, sf_dir),
-        "tb_paymentmodes": paymentmodes(spark, sf_dir),
-        "tb_cmssitelp": sites(spark, sf_dir),
-        "tb_users": users(spark, sf_dir),
-        "tb_paymentinfos": paymentinfos(spark, sf_dir),
-        "tb_addresses": addresses(spark, sf_dir),
-        "tb_carts": carts(spark, sf_dir),
-        "tb_cartentries": cartentries(spark, sf_dir),
+def source_tables(spark: SparkSession, sf_dir: str):
+    """Raw (untyped, duplicated) source tables keyed by their source names, built lazily."""
+    from ..plans.prepare import LazyTables
+
+    makers = {
+        "tb_regions": regions, "tb_paymentmodes": paymentmodes, "tb_cmssitelp": sites, "tb_users": users,
+        "tb_paymentinfos": paymentinfos, "tb_addresses": addresses, "tb_carts": carts, "tb_cartentries": cartentries,
     }
+    return LazyTables({k: (lambda f=f: f(spark, sf_dir)) for k, f in makers.items()})
 
 
 # Stand-alone question tables.
