@@ -8,6 +8,9 @@ Rules
 - decimals: ``try_cast`` to ``decimal(18,4)``; NaN and junk become NULL.
 - timestamps: ``try_cast`` to ``timestamp_ntz``; junk becomes NULL.
 - anything else: text.
+
+Expressions are produced as SQL text (one JVM call per projection instead of
+one per sub-expression); Catalyst sees the same expression trees either way.
 """
 
 from __future__ import annotations
@@ -16,69 +19,89 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..specs import BIGINT, DEC, INT, STR, TS, TableSpec
+from ..specs import BIGINT, INT, STR, TS, TableSpec
 
 _WIDE = "decimal(38,18)"
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType)
+_TEXT = (T.StringType, T.VarcharType, T.CharType)
+
+
+def q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def to_integer(c: Column, source: T.DataType, target: str = BIGINT) -> Column:
+def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
     if isinstance(source, _INTEGRAL):
-        return c.try_cast(target)
+        return f"try_cast({c} as {target})"
     if isinstance(source, _FLOATING):
-        ok = ~F.isnan(c) & (c == F.floor(c))
-        return F.when(ok, c.try_cast(target))
+        return f"case when not isnan({c}) and {c} = floor({c}) then try_cast({c} as {target}) end"
     if isinstance(source, T.DecimalType):
-        return F.when(c == F.floor(c), c.try_cast(target))
-    d = F.trim(c.cast("string")).try_cast(_WIDE)
-    return F.when(d == F.floor(d), d.try_cast(target))
+        return f"case when {c} = floor({c}) then try_cast({c} as {target}) end"
+    d = f"try_cast(trim(cast({c} as string)) as {_WIDE})"
+    return f"case when {d} = floor({d}) then try_cast({d} as {target}) end"
 
 
-def to_decimal(c: Column, source: T.DataType, target: str = DEC) -> Column:
+def decimal_sql(c: str, source: T.DataType, target: str = "decimal(18,4)") -> str:
     if isinstance(source, _FLOATING):
-        return F.when(~F.isnan(c), c.try_cast(target))
-    if isinstance(source, (T.StringType, T.VarcharType, T.CharType)):
-        return F.trim(c).try_cast(target)
-    return c.try_cast(target)
+        return f"case when not isnan({c}) then try_cast({c} as {target}) end"
+    if isinstance(source, _TEXT):
+        return f"try_cast(trim({c}) as {target})"
+    return f"try_cast({c} as {target})"
 
 
-def to_timestamp(c: Column, source: T.DataType) -> Column:
+def timestamp_sql(c: str, source: T.DataType) -> str:
     if isinstance(source, T.TimestampNTZType):
         return c
-    if isinstance(source, (T.StringType, T.VarcharType, T.CharType)):
-        return F.trim(c).try_cast("timestamp_ntz")
-    return c.try_cast("timestamp_ntz")
+    if isinstance(source, _TEXT):
+        return f"try_cast(trim({c}) as timestamp_ntz)"
+    return f"try_cast({c} as timestamp_ntz)"
 
 
-def coerce_column(c: Column, source: T.DataType, target: str) -> Column:
+def coerce_sql(c: str, source: T.DataType, target: str) -> str:
     if target in (BIGINT, INT):
-        return to_integer(c, source, target)
+        return integer_sql(c, source, target)
     if target.startswith("decimal"):
-        return to_decimal(c, source, target)
+        return decimal_sql(c, source, target)
     if target == TS:
-        return to_timestamp(c, source)
+        return timestamp_sql(c, source)
     if isinstance(source, T.StringType):
         return c
-    return c.cast(STR)
+    return f"cast({c} as {STR})"
+
+
+# Column-level forms (take a column name).
+def to_integer(name: str, source: T.DataType, target: str = BIGINT) -> Column:
+    return F.expr(integer_sql(q(name), source, target))
+
+
+def to_decimal(name: str, source: T.DataType, target: str = "decimal(18,4)") -> Column:
+    return F.expr(decimal_sql(q(name), source, target))
+
+
+def to_timestamp(name: str, source: T.DataType) -> Column:
+    return F.expr(timestamp_sql(q(name), source))
+
+
+def coerce_column(name: str, source: T.DataType, target: str) -> Column:
+    return F.expr(coerce_sql(q(name), source, target))
 
 
 def coerce_frame(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Project the spec's normalised columns with their target types."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(
-        *[coerce_column(F.col(n), types[n], spec.target_type(n)).alias(n) for n in spec.normalized]
+    return df.selectExpr(
+        *[f"{coerce_sql(q(n), types[n], spec.target_type(n))} as {q(n)}" for n in spec.normalized]
     )
 
 
-def rejected_flags(df: DataFrame, spec: TableSpec) -> list[Column]:
+def rejected_flags_sql(df: DataFrame, spec: TableSpec) -> list[str]:
     """Per column: 1 where a non-null source value did not survive coercion."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    out = []
-    for n in spec.normalized:
-        coerced = coerce_column(F.col(n), types[n], spec.target_type(n))
-        out.append(F.when(F.col(n).isNotNull() & coerced.isNull(), 1).otherwise(0))
-    return out
+    return [
+        f"case when {q(n)} is not null and ({coerce_sql(q(n), types[n], spec.target_type(n))}) is null then 1 else 0 end"
+        for n in spec.normalized
+    ]
 
 
-__all__ = ["to_integer", "to_decimal", "to_timestamp", "coerce_column", "coerce_frame", "rejected_flags", "DEC", "INT"]
+__all__ = ["to_integer", "to_decimal", "to_timestamp", "coerce_column", "coerce_frame", "rejected_flags_sql", "q"]

@@ -16,17 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _order_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None):
-    rest = [c for c in df.columns if c not in keys]
-    order = list(order) if order is not None else rest
-    payload = [c for c in rest if c not in order]
-    fields = []
-    for i, c in enumerate(order):
-        # (is_null, value) pairs give ascending order with NULLs last.
-        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
-    fields += [F.col(c).alias(f"_p{j}") for j, c in enumerate(payload)]
-    names = {c: f"_v{i}" for i, c in enumerate(order)} | {c: f"_p{j}" for j, c in enumerate(payload)}
-    return F.struct(*fields), names
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def dedup_by_key(
@@ -36,15 +27,18 @@ def dedup_by_key(
     drop_null_keys: bool = True,
 ) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
+    cols = df.columns
+    rest = [c for c in cols if c not in keys]
+    order = list(order) if order is not None else rest
+    payload = [c for c in rest if c not in order]
+    # (is_null, value) pairs give ascending order with NULLs last.
+    fields = [f"{_q(c)} is null as _n{i}, {_q(c)} as _v{i}" for i, c in enumerate(order)]
+    fields += [f"{_q(c)} as _p{j}" for j, c in enumerate(payload)]
+    names = {c: f"_v{i}" for i, c in enumerate(order)} | {c: f"_p{j}" for j, c in enumerate(payload)}
     if drop_null_keys:
-        cond = None
-        for k in keys:
-            cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
-        df = df.where(cond)
-    s, names = _order_struct(df, keys, order)
-    best = df.groupBy(*keys).agg(F.min(s).alias("_w"))
-    cols = [F.col(c) if c in keys else F.col(f"_w.{names[c]}").alias(c) for c in df.columns]
-    return best.select(*cols)
+        df = df.where(" and ".join(f"{_q(k)} is not null" for k in keys))
+    best = df.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(fields)}))").alias("_w"))
+    return best.selectExpr(*[_q(c) if c in keys else f"_w.{names[c]} as {_q(c)}" for c in cols])
 
 
 def dedup_by_key_window(

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.coerce import coerce_column, rejected_flags
+from ..functions.coerce import coerce_sql, q, rejected_flags_sql
 from ..specs import TableSpec
 
 
@@ -28,12 +28,9 @@ def load_metrics(raw: DataFrame, spec: TableSpec) -> DataFrame:
     collecting keys.
     """
     types = {f.name: f.dataType for f in raw.schema.fields}
-    key = coerce_column(F.col(spec.key), types[spec.key], spec.target_type(spec.key))
-    flags = rejected_flags(raw, spec)
-    per_key = raw.select(
-        key.alias("_k"),
-        sum(flags[1:], flags[0]).alias("_rej"),
-    ).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
+    key = coerce_sql(q(spec.key), types[spec.key], spec.target_type(spec.key))
+    flags = " + ".join(rejected_flags_sql(raw, spec))
+    per_key = raw.selectExpr(f"{key} as _k", f"{flags} as _rej").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
     return per_key.agg(
         F.sum("_n").alias("rows_read"),
         F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import export_line
-from .reports import TOP_CART_COLUMNS, top_cart_heads
+from .reports import TOP_CART_COLUMNS, top_cart_set
 
 
 def top_cart_lines(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
-    heads = top_cart_heads(prepared, items, n)
+    heads, entries = top_cart_set(prepared, items, n)
     htypes = {f.name: f.dataType for f in heads.schema.fields}
     head_lines = heads.select(
         "cart_rank",
@@ -29,7 +29,7 @@ def top_cart_lines(prepared: Mapping[str, DataFrame], items: DataFrame, n: int =
         F.lit(None).cast("bigint").alias("entry_id"),
         export_line([(F.col(c), htypes[c]) for c in TOP_CART_COLUMNS]).alias("line"),
     )
-    its = items.where(F.col("product_id").isNotNull()).join(
+    its = entries.where(F.col("product_id").isNotNull()).join(
         F.broadcast(heads.select("cart_id", "cart_rank")), "cart_id", "inner"
     )
     itypes = {f.name: f.dataType for f in its.schema.fields}

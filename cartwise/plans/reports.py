@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.pairs import top_pairs as _top_pairs
 from ..session import checkpoint_dir
-from .views import cart_enriched
+from .views import cart_enriched, key_in
 
 
 
@@ -146,34 +146,56 @@ TOP_CART_COLUMNS = (
 TOP_ITEM_COLUMNS = ("product_id", "quantity", "total_price", "entry_number")
 
 
-def top_cart_heads(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
-    """The n most expensive carts, enriched, with their rank (1 = most expensive).
+# Largest top-n kept as a literal (driver-side) cart set; above it the n carts
+# stay distributed and are written to the checkpoint folder instead.
+LOCAL_TOP_MAX = 10_000
+_FKS = ("pk", "p_user", "p_paymentmode", "p_paymentinfo", "p_site", "p_paymentaddress")
+
 
+def top_cart_set(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(heads, entries) of the n most expensive carts.
+
+    ``heads``: n enriched carts with ``cart_rank`` (1 = most expensive).
+    ``entries``: every entry of those carts.
     The ranking only needs the cart's own price and key, so it is taken from the
-    prepared carts before any lookup; the lookups then run for n carts only.
+    prepared carts before any lookup (a distributed top-n). For n up to
+    ``LOCAL_TOP_MAX`` the n rows become a literal frame and their keys filter
+    the lookup tables and entries (``isin``, pushed towards the scans); larger
+    sets are checkpointed and applied with broadcast semi joins.
     """
     carts = prepared["tb_carts"]
     price = F.coalesce(F.col("p_totalprice"), F.lit(0).cast("decimal(18,4)"))
-    top = _bounded(carts.orderBy(price.desc_nulls_last(), F.col("pk").asc()).limit(n))
-    heads = cart_enriched(prepared, items, need=TOP_CART_COLUMNS, carts=top, bounded=True)
+    ordered = carts.orderBy(price.desc_nulls_last(), F.col("pk").asc()).limit(n)
+    if n <= LOCAL_TOP_MAX:
+        rows = ordered.collect()  # at most n rows
+        top = carts.sparkSession.createDataFrame(rows, carts.schema)
+        keys = {fk: sorted({r[fk] for r in rows if r[fk] is not None}) for fk in _FKS}
+        entries = items.where(key_in("cart_id", keys["pk"]))
+        heads = cart_enriched(prepared, entries, need=TOP_CART_COLUMNS, carts=top, lookup_keys=keys)
+    else:
+        top = _bounded(ordered)
+        entries = _bounded(items.join(F.broadcast(top.selectExpr("pk as cart_id")), "cart_id", "left_semi"))
+        heads = _bounded(cart_enriched(prepared, entries, need=TOP_CART_COLUMNS, carts=top, bounded=True))
     rank = F.row_number().over(Window.orderBy(_d("cart_total_price"), _a("cart_id")))
-    # n rows: one ordered partition is fine; written once, read by every consumer.
-    return _bounded(heads.withColumn("cart_rank", rank))
+    # n rows: one ordered partition is fine.
+    return heads.withColumn("cart_rank", rank), entries
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Materialise a result of bounded size (a top-n) in the reliable checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def top_cart_heads(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
+    return top_cart_set(prepared, items, n)[0]
 
 
 def top_carts(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
-    heads = top_cart_heads(prepared, items, n)
-    its = items.join(F.broadcast(heads.select("cart_id")), "cart_id", "left_semi").select(
-        "cart_id", "entry_id", *TOP_ITEM_COLUMNS
-    )
+    heads, entries = top_cart_set(prepared, items, n)
+    its = entries.select("cart_id", "entry_id", *TOP_ITEM_COLUMNS)
     return (
         heads.join(its, "cart_id", "left")
         .orderBy(_d("cart_total_price"), _a("cart_id"), _a("entry_number"), _a("product_id"), _a("entry_id"))
         .select(*TOP_CART_COLUMNS, *TOP_ITEM_COLUMNS)
     )
+
+
+def _bounded(df: DataFrame) -> DataFrame:
+    """Materialise a result of bounded size (a top-n) in the reliable checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -103,18 +103,18 @@ def q_lenient_casts(spark, sf_dir):
     d = T.DoubleType()
     return canon(texts.select(
         "pk",
-        to_integer(F.col("qty_text"), s).alias("qty_int"),
-        to_integer(F.col("line_text"), s).alias("line_int"),
-        to_integer(F.col("exp_text"), s).alias("exp_int"),
-        to_integer(F.col("price_text"), s).alias("price_int"),
-        to_decimal(F.col("price_text"), s).alias("price_dec"),
-        to_integer(F.col("flag_text"), s).alias("flag_int"),
-        to_timestamp(F.col("flag_text"), s).alias("flag_ts"),
-        to_timestamp(F.col("ts_text"), s).alias("ship_ts"),
-        to_integer(F.col("l_discount"), d).alias("disc_int"),
-        to_decimal(F.col("l_tax"), d).alias("tax_dec"),
-        to_integer(F.col("qtynan_text"), s).alias("qtynan_int"),
-        to_decimal(F.col("qtynan_text"), s).alias("qtynan_dec"),
+        to_integer("qty_text", s).alias("qty_int"),
+        to_integer("line_text", s).alias("line_int"),
+        to_integer("exp_text", s).alias("exp_int"),
+        to_integer("price_text", s).alias("price_int"),
+        to_decimal("price_text", s).alias("price_dec"),
+        to_integer("flag_text", s).alias("flag_int"),
+        to_timestamp("flag_text", s).alias("flag_ts"),
+        to_timestamp("ts_text", s).alias("ship_ts"),
+        to_integer("l_discount", d).alias("disc_int"),
+        to_decimal("l_tax", d).alias("tax_dec"),
+        to_integer("qtynan_text", s).alias("qtynan_int"),
+        to_decimal("qtynan_text", s).alias("qtynan_dec"),
     ))
 
 
@@ -195,9 +195,9 @@ def q_delimited_roundtrip(spark, sf_dir):
     rows, _long = read_delimited_checked(spark, path, ["n_nationkey", "n_name", "n_regionkey"])
     s = T.StringType()
     return rows.select(
-        to_integer(F.col("n_nationkey"), s).alias("n_nationkey"),
+        to_integer("n_nationkey", s).alias("n_nationkey"),
         F.col("n_name"),
-        to_integer(F.col("n_regionkey"), s).alias("n_regionkey"),
+        to_integer("n_regionkey", s).alias("n_regionkey"),
     )
 
 

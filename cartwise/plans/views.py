@@ -22,15 +22,15 @@ def month_of(ts) -> F.Column:
 
 def cart_items(entries: DataFrame) -> DataFrame:
     """One row per entry with a cart reference. ``month`` is the entry's month."""
-    return entries.where(F.col("p_order").isNotNull()).select(
-        F.col("p_order").alias("cart_id"),
-        F.col("pk").alias("entry_id"),
-        F.col("p_product").alias("product_id"),
-        F.coalesce(F.col("p_quantity"), _zero4()).alias("quantity"),
-        F.coalesce(F.col("p_totalprice"), _zero4()).alias("total_price"),
-        F.col("p_entrynumber").alias("entry_number"),
-        F.col("createdts").alias("entry_created_ts"),
-        month_of(F.col("createdts")).alias("month"),
+    return entries.where("p_order is not null").selectExpr(
+        "p_order as cart_id",
+        "pk as entry_id",
+        "p_product as product_id",
+        "coalesce(p_quantity, cast(0 as decimal(18,4))) as quantity",
+        "coalesce(p_totalprice, cast(0 as decimal(18,4))) as total_price",
+        "p_entrynumber as entry_number",
+        "createdts as entry_created_ts",
+        "trunc(to_date(createdts), 'month') as month",
     )
 
 
@@ -40,6 +40,16 @@ def cart_item_summary(items: DataFrame) -> DataFrame:
     )
 
 
+def key_in(column: str, values) -> F.Column:
+    """``column IN (values)`` as one SQL expression (integral keys), else ``isin``."""
+    values = list(values)
+    if not values:
+        return F.lit(False)
+    if all(isinstance(v, int) and not isinstance(v, bool) for v in values):
+        return F.expr(f"`{column}` IN ({', '.join(str(v) for v in values)})")
+    return F.col(column).isin(values)
+
+
 def _semi(dim: DataFrame, dim_key: str, keys: DataFrame, fk: str) -> DataFrame:
     """Restrict a dimension to the keys a bounded cart set refers to (broadcast semi join)."""
     return dim.join(F.broadcast(keys.select(F.col(fk).alias(dim_key)).distinct()), dim_key, "left_semi")
@@ -51,6 +61,7 @@ def cart_enriched(
     need: Iterable[str] | None = None,
     carts: DataFrame | None = None,
     bounded: bool = False,
+    lookup_keys: Mapping[str, list] | None = None,
 ) -> DataFrame:
     """One row per cart with its lookups and item summary.
 
@@ -63,30 +74,31 @@ def cart_enriched(
     """
     need = set(ENRICHED_COLUMNS if need is None else need) | {"cart_id"}
     c = carts if carts is not None else prepared["tb_carts"]
-    base = c.select(
-        F.col("pk").alias("cart_id"),
-        F.col("createdts").alias("created_ts"),
-        F.to_date(F.col("createdts")).alias("cart_date"),
-        month_of(F.col("createdts")).alias("month"),
-        F.coalesce(F.col("p_totalprice"), _zero4()).alias("cart_total_price"),
+    base = c.selectExpr(
+        "pk as cart_id",
+        "createdts as created_ts",
+        "to_date(createdts) as cart_date",
+        "trunc(to_date(createdts), 'month') as month",
+        "coalesce(p_totalprice, cast(0 as decimal(18,4))) as cart_total_price",
         "p_user", "p_paymentmode", "p_paymentinfo", "p_site", "p_paymentaddress",
     )
     out = base
 
     def dim(name: str, key: str, fk: str) -> DataFrame:
         d = prepared[name]
+        if lookup_keys is not None:
+            return d.where(key_in(key, lookup_keys.get(fk, [])))
         return _semi(d, key, base, fk) if bounded else d
 
     if need & {"item_quantity_sum", "item_count"}:
         it = items
-        if bounded:
+        if lookup_keys is not None:
+            it = it.where(key_in("cart_id", lookup_keys.get("pk", [])))
+        elif bounded:
             it = it.join(F.broadcast(base.select("cart_id")), "cart_id", "left_semi")
         s = cart_item_summary(it)
-        out = out.join(s, "cart_id", "left").select(
-            *[F.col(x) for x in out.columns],
-            F.coalesce(F.col("item_quantity_sum"), F.lit(0).cast("decimal(28,4)")).alias("item_quantity_sum"),
-            F.coalesce(F.col("item_count"), F.lit(0).cast("bigint")).alias("item_count"),
-        )
+        out = out.join(s, "cart_id", "left")
+    # Lookups join on the cart's foreign-key name (USING join): no key columns to drop.
     lookups = [
         ("user_uid", "tb_users", "pk", "p_user", "p_uid"),
         ("payment_mode_code", "tb_paymentmodes", "pk", "p_paymentmode", "p_code"),
@@ -95,19 +107,20 @@ def cart_enriched(
     ]
     for col_name, table, key, fk, val in lookups:
         if col_name in need:
-            d = dim(table, key, fk).select(F.col(key).alias(f"_k_{col_name}"), F.col(val).alias(col_name))
-            out = out.join(d, F.col(fk) == F.col(f"_k_{col_name}"), "left").drop(f"_k_{col_name}")
+            d = dim(table, key, fk).selectExpr(f"{key} as {fk}", f"{val} as {col_name}")
+            out = out.join(d, fk, "left")
     if need & {"postal_code", "state"}:
-        a = dim("tb_addresses", "pk", "p_paymentaddress").select(
-            F.col("pk").alias("_a_pk"),
-            F.nullif(F.col("p_postalcode"), F.lit("nan")).alias("postal_code"),
-            F.col("p_region").alias("_a_region"),
+        a = dim("tb_addresses", "pk", "p_paymentaddress").selectExpr(
+            "pk as p_paymentaddress", "nullif(p_postalcode, 'nan') as postal_code", "p_region"
         )
         if "state" in need:
             r = prepared["tb_regions"]
-            if bounded:
-                r = _semi(r, "pk", a, "_a_region")
-            r = r.select(F.col("pk").alias("_r_pk"), F.col("p_isocodeshort").alias("state"))
-            a = a.join(r, F.col("_a_region") == F.col("_r_pk"), "left").drop("_r_pk")
-        out = out.join(a.drop("_a_region"), F.col("p_paymentaddress") == F.col("_a_pk"), "left").drop("_a_pk")
-    return out.select(*[c for c in ENRICHED_COLUMNS if c in need])
+            if bounded or lookup_keys is not None:
+                r = _semi(r, "pk", a, "p_region")
+            a = a.join(r.selectExpr("pk as p_region", "p_isocodeshort as state"), "p_region", "left")
+        out = out.join(a, "p_paymentaddress", "left")
+    exprs = {
+        "item_quantity_sum": "coalesce(item_quantity_sum, cast(0 as decimal(28,4))) as item_quantity_sum",
+        "item_count": "coalesce(item_count, cast(0 as bigint)) as item_count",
+    }
+    return out.selectExpr(*[exprs.get(c, c) for c in ENRICHED_COLUMNS if c in need])

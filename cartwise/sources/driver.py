@@ -28,70 +28,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _SCANS[key]
 
 
-def _priority_code(c):
-    return F.substring(c, 1, 1).cast("bigint")
-
-
 def cartentries(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pk"),
-        F.col("l_shipdate").alias("createdts"),
-        F.col("l_orderkey").alias("p_order"),
-        F.col("l_linenumber").alias("p_entrynumber"),
-        F.col("l_partkey").alias("p_product"),
-        F.col("l_quantity").alias("p_quantity"),
-        F.col("l_extendedprice").alias("p_totalprice"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 8 + l_linenumber as pk",
+        "l_shipdate as createdts",
+        "l_orderkey as p_order",
+        "l_linenumber as p_entrynumber",
+        "l_partkey as p_product",
+        "l_quantity as p_quantity",
+        "l_extendedprice as p_totalprice",
     )
 
 
 def carts(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("pk"),
-        F.col("o_orderdate").alias("createdts"),
-        F.col("o_totalprice").alias("p_totalprice"),
-        F.col("o_custkey").alias("p_paymentaddress"),
-        (F.col("o_orderkey") % 120).alias("p_paymentinfo"),
-        _priority_code(F.col("o_orderpriority")).alias("p_paymentmode"),
-        F.col("o_custkey").alias("p_user"),
-        (F.col("o_orderkey") % 7).alias("p_site"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as pk",
+        "o_orderdate as createdts",
+        "o_totalprice as p_totalprice",
+        "o_custkey as p_paymentaddress",
+        "o_orderkey % 120 as p_paymentinfo",
+        "cast(substring(o_orderpriority, 1, 1) as bigint) as p_paymentmode",
+        "o_custkey as p_user",
+        "o_orderkey % 7 as p_site",
     )
 
 
 def users(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pk"), F.col("c_name").alias("p_uid"))
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey as pk", "c_name as p_uid")
 
 
 def paymentmodes(spark, sf_dir) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    return o.select(_priority_code(F.col("o_orderpriority")).alias("pk"), F.col("o_orderpriority").alias("p_code"))
+    return table(spark, sf_dir, "orders").selectExpr(
+        "cast(substring(o_orderpriority, 1, 1) as bigint) as pk", "o_orderpriority as p_code"
+    )
 
 
 def paymentinfos(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier")
-    return s.select(F.col("s_suppkey").alias("pk"), F.col("s_nationkey").alias("p_installments"))
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey as pk", "s_nationkey as p_installments")
 
 
 def sites(spark, sf_dir) -> DataFrame:
-    r = table(spark, sf_dir, "region")
-    return r.select(F.col("r_regionkey").cast("bigint").alias("itempk"), F.col("r_name").alias("p_name"))
+    return table(spark, sf_dir, "region").selectExpr("cast(r_regionkey as bigint) as itempk", "r_name as p_name")
 
 
 def addresses(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").alias("pk"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as pk",
         # shifted by 5: customers of nations 20-24 point at regions that do not exist
-        (F.col("c_nationkey") + 5).cast("bigint").alias("p_region"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("nan")).otherwise(F.col("c_mktsegment")).alias("p_postalcode"),
+        "cast(c_nationkey + 5 as bigint) as p_region",
+        "case when c_mktsegment = 'BUILDING' then 'nan' else c_mktsegment end as p_postalcode",
     )
 
 
 def regions(spark, sf_dir) -> DataFrame:
-    n = table(spark, sf_dir, "nation")
-    return n.select(
-        F.col("n_nationkey").cast("bigint").alias("pk"), F.col("n_name").alias("p_isocode"), F.col("n_name").alias("p_isocodeshort")
+    return table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as bigint) as pk", "n_name as p_isocode", "n_name as p_isocodeshort"
     )
 
 

@@ -11,19 +11,19 @@ from cartwise.specs import SPECS, normalize_name, table_key
 def test_integer_text(spark):
     vals = ["10.0", " 7 ", "1e3", "10.5", "nan", "x", "9223372036854775808", None]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
-    out = [r[0] for r in df.select(to_integer(F.col("s"), T.StringType())).collect()]
+    out = [r[0] for r in df.select(to_integer("s", T.StringType())).collect()]
     assert out == [10, 7, 1000, None, None, None, None, None]
 
 
 def test_nan_foreign_key_is_null_never_zero(spark):
     df = spark.createDataFrame([(float("nan"),), (8796093054980.0,), (2.5,), (float("inf"),)], "d double")
-    out = [r[0] for r in df.select(to_integer(F.col("d"), T.DoubleType())).collect()]
+    out = [r[0] for r in df.select(to_integer("d", T.DoubleType())).collect()]
     assert out == [None, 8796093054980, None, None]
 
 
 def test_decimal_and_timestamp(spark):
     df = spark.createDataFrame([("50.25", "2024-01-10 10:00:00"), ("nan", "xx"), (None, None)], "p string, t string")
-    out = df.select(to_decimal(F.col("p"), T.StringType()), to_timestamp(F.col("t"), T.StringType())).collect()
+    out = df.select(to_decimal("p", T.StringType()), to_timestamp("t", T.StringType())).collect()
     assert out[0][0] == Decimal("50.2500") and out[0][1] == datetime.datetime(2024, 1, 10, 10, 0)
     assert out[1][0] is None and out[1][1] is None
     assert out[2][0] is None and out[2][1] is None
