@@ -15,10 +15,11 @@ last level the parent of the current position is the answer if it qualifies.
 Work is O(N log D) rows in O(log D) joins, every one a distributed equi-join
 (a popular ancestor is a skewed key on the streamed side; AQE splits it).
 
-Every level and every climbing step is written to the reliable checkpoint
-directory (``spark.checkpoint.dir``) so lineage stays short and a lost executor
-only costs the current step. A cycle, or a chain longer than ``max_depth``,
-raises instead of looping.
+Every level is written to the reliable checkpoint directory
+(``spark.checkpoint.dir``): each is read by the next level, by the emptiness
+check and by the climb, and a lost executor then only costs the current level.
+The climb itself is one plan of ``ceil(log2 D)`` joins against those files.
+A cycle, or a chain longer than ``max_depth``, raises instead of looping.
 """
 
 from __future__ import annotations
@@ -80,9 +81,8 @@ def nearest_ancestor(
     for lv in reversed(levels[:-1]):
         joined = state.join(lv, state["cur"] == lv["node"], "left")
         fails = ~F.coalesce(F.col("mx") >= F.col("t"), F.lit(False))
-        state = _materialize(
-            joined.select("e", "t", F.when(F.col("up").isNotNull() & fails, F.col("up")).otherwise(F.col("cur")).alias("cur")),
-            reliable,
+        state = joined.select(
+            "e", "t", F.when(F.col("up").isNotNull() & fails, F.col("up")).otherwise(F.col("cur")).alias("cur")
         )
     first = levels[0]
     res = state.join(first, state["cur"] == first["node"], "left").select(

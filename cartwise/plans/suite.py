@@ -201,6 +201,28 @@ def q_delimited_roundtrip(spark, sf_dir):
     )
 
 
+def q_stream_ingest(spark, sf_dir):
+    """The two arrival batches of ``insert_if_absent`` as files picked up by a stream."""
+    from ..streaming.ingest import start_ingest, stored_table
+
+    li = driver.table(spark, sf_dir, "lineitem")
+    entries = li.selectExpr(
+        "l_orderkey * 8 + l_linenumber as pk", "l_shipdate as createdts", "l_orderkey as p_order",
+        "l_linenumber as p_entrynumber", "l_partkey as p_product", "l_quantity as p_quantity",
+        "l_extendedprice as p_totalprice", "coalesce(l_linestatus = 'O', false) as _open",
+    )
+    base = scratch_path(spark, "stream-ingest")
+    src = f"{base}/incoming"
+    # arrival order: open lines first, then the rest; one file per arrival
+    entries.where("_open").drop("_open").coalesce(1).write.parquet(f"{src}/0001")
+    entries.where("not _open").drop("_open").coalesce(1).write.parquet(f"{src}/0002")
+    schema = entries.drop("_open").schema
+    q = start_ingest(spark, f"{src}/*", schema, SPECS["tb_cartentries"], f"{base}/target", f"{base}/_checkpoint",
+                     files_per_batch=1)
+    q.awaitTermination()
+    return canon(stored_table(spark, f"{base}/target"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_entries": q_dedup_entries,
     "insert_if_absent": q_insert_if_absent,
@@ -223,4 +245,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_sum_at_least": q_topk_sum_at_least,
     "nearest_ancestor": q_nearest_ancestor,
     "delimited_roundtrip": q_delimited_roundtrip,
+    "stream_ingest": q_stream_ingest,
 }
