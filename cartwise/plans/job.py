@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.metrics import observe_load
 from ..session import scratch_path
 from ..sinks import write_lines, write_report
 from ..sources.catalog import load_sources, path_join
@@ -34,21 +35,41 @@ REPORT_NAMES = (
 EXPORT_NAME = "top_50_carrinhos.txt"
 
 
-def stage_prepared(spark: SparkSession, prepared: Mapping[str, DataFrame], stage_dir: str) -> dict[str, DataFrame]:
+def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def stage_prepared(
+    spark: SparkSession, prepared: Mapping[str, DataFrame], stage_dir: str, metrics: dict | None = None
+) -> dict[str, DataFrame]:
+    """Write each prepared table (and ``cart_items``) once; optionally record kept-row counts.
+
+    The counts come from an ``Observation`` on the write itself, not from a
+    second pass over the data.
+    """
     out = {}
     for name, df in prepared.items():
-        path = path_join(stage_dir, name)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.parquet(path)
-    items_path = path_join(stage_dir, "cart_items")
-    cart_items(out["tb_cartentries"]).write.mode("overwrite").parquet(items_path)
-    out["cart_items"] = spark.read.parquet(items_path)
+        if metrics is not None:
+            df, obs = observe_load(df, name)
+            metrics[name] = obs
+        out[name] = _stage(spark, df, path_join(stage_dir, name))
+    out["cart_items"] = _stage(spark, cart_items(out["tb_cartentries"]), path_join(stage_dir, "cart_items"))
     return out
 
 
-def build_reports(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> dict[str, DataFrame]:
+def build_reports(
+    prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50, stage_dir: str | None = None
+) -> dict[str, DataFrame]:
+    """The 7 report frames. With ``stage_dir`` the two shared intermediates — the
+    (product, month) aggregate behind R3/R4/R6 and the per-cart rollup behind
+    R5/R7 — are written once and read by their reports."""
     stats = reports.product_month_stats(items)
     rollup = cart_enriched(prepared, items, need=reports.ROLLUP_NEED)
+    if stage_dir is not None:
+        spark = items.sparkSession
+        stats = _stage(spark, stats, path_join(stage_dir, "product_month_stats"))
+        rollup = _stage(spark, rollup, path_join(stage_dir, "cart_rollup"))
     return {
         "top_produtos_abandonados": reports.top_products(items, n),
         "top_duplas_produtos_abandonados": reports.top_pairs(items, n),
@@ -64,9 +85,15 @@ BOUNDED = {"top_produtos_abandonados", "top_duplas_produtos_abandonados", "produ
            "abandonos_por_estado"}
 
 
-def run_reports(prepared: Mapping[str, DataFrame], output_dir: str, n: int = 50, items: DataFrame | None = None) -> None:
+def run_reports(
+    prepared: Mapping[str, DataFrame],
+    output_dir: str,
+    n: int = 50,
+    items: DataFrame | None = None,
+    stage_dir: str | None = None,
+) -> None:
     items = items if items is not None else cart_items(prepared["tb_cartentries"])
-    for name, df in build_reports(prepared, items, n).items():
+    for name, df in build_reports(prepared, items, n, stage_dir).items():
         write_report(df, path_join(output_dir, f"{name}.csv"), single_file=name in BOUNDED)
     write_lines(top_cart_lines(prepared, items, n), path_join(output_dir, EXPORT_NAME))
 
@@ -78,12 +105,18 @@ def run_job(
     top_limit: int = 50,
     stage_dir: str | None = None,
     raw_tables: Mapping[str, DataFrame] | None = None,
-) -> None:
-    """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook."""
+) -> dict[str, int]:
+    """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook.
+
+    Returns the number of rows kept per prepared table.
+    """
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
-    staged = stage_prepared(spark, prepare_all(raw), stage_dir or scratch_path(spark, "stage"))
+    stage_dir = stage_dir or scratch_path(spark, "stage")
+    observed: dict = {}
+    staged = stage_prepared(spark, prepare_all(raw), stage_dir, observed)
     items = staged.pop("cart_items")
-    run_reports(staged, output_dir, top_limit, items=items)
+    run_reports(staged, output_dir, top_limit, items=items, stage_dir=stage_dir)
+    return {name: obs.get["rows"] for name, obs in observed.items()}
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -92,9 +92,7 @@ def cart_enriched(
 
     if need & {"item_quantity_sum", "item_count"}:
         it = items
-        if lookup_keys is not None:
-            it = it.where(key_in("cart_id", lookup_keys.get("pk", [])))
-        elif bounded:
+        if bounded and lookup_keys is None:
             it = it.join(F.broadcast(base.select("cart_id")), "cart_id", "left_semi")
         s = cart_item_summary(it)
         out = out.join(s, "cart_id", "left")

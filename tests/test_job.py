@@ -8,8 +8,9 @@ from conftest import SF_SMALL
 
 def test_run_job_end_to_end(spark, tmp_path):
     out = str(tmp_path / "out")
-    run_job(spark, data_dir=None, output_dir=out, top_limit=5, stage_dir=str(tmp_path / "stage"),
-            raw_tables=driver.source_tables(spark, SF_SMALL))
+    kept = run_job(spark, data_dir=None, output_dir=out, top_limit=5, stage_dir=str(tmp_path / "stage"),
+                   raw_tables=driver.source_tables(spark, SF_SMALL))
+    assert kept["tb_regions"] == 25 and kept["tb_paymentmodes"] == 5 and kept["tb_cartentries"] > 0
     for name in REPORT_NAMES:
         parts = glob.glob(os.path.join(out, f"{name}.csv", "part-*"))
         assert parts, name
