@@ -25,3 +25,30 @@ def test_run_job_end_to_end(spark, tmp_path):
     assert all(ln.endswith("|") and ln.count("|") == 3 for ln in lines if ln.count("|") != 9)
     # bounded reports are single files
     assert len(glob.glob(os.path.join(out, "top_produtos_abandonados.csv", "part-*"))) == 1
+
+
+def test_run_job_from_source_files(spark, tmp_path):
+    """The catalogue path: 4 pipe-delimited CSV and 4 Parquet files in source spelling."""
+    from fixtures import ROWS, SCHEMAS
+
+    from cartwise.specs import SPECS
+
+    data = tmp_path / "data"
+    data.mkdir()
+    for name, spec in SPECS.items():
+        df = spark.createDataFrame(ROWS[name], SCHEMAS[name]).toDF(*spec.columns)
+        if spec.fmt == "csv":
+            lines = ["|".join(f'"{c}"' for c in spec.columns)]
+            lines += ["|".join("" if v is None else (f'"{v}"' if "|" in str(v) else str(v)) for v in r) for r in ROWS[name]]
+            (data / spec.file).write_text("\n".join(lines) + "\n", encoding="utf-8")
+        else:
+            df.coalesce(1).write.parquet(str(data / spec.file))
+    out = str(tmp_path / "out")
+    kept = run_job(spark, str(data), out, top_limit=4, stage_dir=str(tmp_path / "stage"))
+    assert kept["tb_users"] == 2 and kept["tb_cartentries"] == len(ROWS["tb_cartentries"])
+    lines = []
+    for part in sorted(glob.glob(os.path.join(out, EXPORT_NAME, "part-*"))):
+        with open(part) as f:
+            lines += f.read().splitlines()
+    assert lines[0] == '10|2024-01-05 10:00:00|100.0000|"u|1"|1-URGENT|3|site one|01000|7.0000|4'
+    assert len(lines) == 8
