@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.metrics import observe_load
-from ..session import scratch_path
+from ..session import input_bytes, scratch_path, size_shuffle_partitions
 from ..sinks import write_lines, write_report
 from ..sources.catalog import load_sources, path_join
 from . import reports
@@ -110,6 +110,10 @@ def run_job(
 
     Returns the number of rows kept per prepared table.
     """
+    if raw_tables is None:
+        from ..specs import SPECS
+
+        size_shuffle_partitions(spark, input_bytes(spark, [path_join(data_dir, s.file) for s in SPECS.values()]))
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
     stage_dir = stage_dir or scratch_path(spark, "stage")
     observed: dict = {}

@@ -61,3 +61,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (metadata listing only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
+    ``target_bytes`` of input (never lowered; AQE coalesces small ones at run time).
+    100 TB of input at 256 MB gives ~400k; the cap keeps task bookkeeping sane and
+    AQE's skew split handles the rest."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(cap, max(current, -(-nbytes // target_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
