@@ -15,17 +15,15 @@ from pyspark.sql import functions as F
 from .catalog import path_join
 
 
-_SCANS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The scan of a driver table; the relation (file listing, footer schema) is
-    resolved once per session and path, like a catalog table."""
+    resolved once per session and path, like a catalog table. The memo lives on
+    the session object, so a new session never sees another session's frames."""
     path = path_join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    scans = spark.__dict__.setdefault("_cartwise_scans", {})
+    if path not in scans:
+        scans[path] = spark.read.parquet(path)
+    return scans[path]
 
 
 def cartentries(spark, sf_dir) -> DataFrame:
