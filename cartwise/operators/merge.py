@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..session import checkpoint_dir
 from .dedup import dedup_by_key
 
 
@@ -27,10 +28,23 @@ def insert_if_absent(
     return target.unionByName(new_rows)
 
 
-def load_batches(batches: Sequence[DataFrame], keys: str | Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """Fold ``insert_if_absent`` over batches in arrival order."""
+def load_batches(
+    batches: Sequence[DataFrame],
+    keys: str | Sequence[str],
+    order: Sequence[str] | None = None,
+    checkpoint_every: int = 8,
+) -> DataFrame:
+    """Fold ``insert_if_absent`` over batches in arrival order.
+
+    Every ``checkpoint_every`` batches the accumulated table is written to the
+    reliable checkpoint folder, so a long series of batches never builds an
+    ever-growing union lineage.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     acc = dedup_by_key(batches[0], keys, order)
-    for b in batches[1:]:
+    for i, b in enumerate(batches[1:], start=1):
         acc = insert_if_absent(acc, b, keys, order)
+        if checkpoint_every and i % checkpoint_every == 0:
+            checkpoint_dir(acc.sparkSession)
+            acc = acc.checkpoint(eager=True)
     return acc

@@ -7,8 +7,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def _zero4():
-    return F.lit(0).cast("decimal(18,4)")
 
 ENRICHED_COLUMNS = (
     "cart_id", "created_ts", "cart_date", "month", "cart_total_price", "user_uid", "payment_mode_code",
@@ -16,10 +14,6 @@ ENRICHED_COLUMNS = (
 )
 
 
-def month_of(ts) -> F.Column:
-    return F.trunc(F.to_date(ts), "month")
-
-
 def cart_items(entries: DataFrame) -> DataFrame:
     """One row per entry with a cart reference. ``month`` is the entry's month."""
     return entries.where("p_order is not null").selectExpr(

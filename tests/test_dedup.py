@@ -41,3 +41,9 @@ def test_insert_if_absent(spark):
     assert out == [(1, "a"), (2, "c")]
     out = sorted(tuple(r) for r in load_batches([b1, b2, b2], "k").collect())
     assert out == [(1, "a"), (2, "c")]
+
+
+def test_load_many_batches_with_checkpoints(spark):
+    batches = [spark.createDataFrame([(i % 5, f"v{i}")], "k long, v string") for i in range(12)]
+    out = sorted(tuple(r) for r in load_batches(batches, "k", checkpoint_every=3).collect())
+    assert out == [(0, "v0"), (1, "v1"), (2, "v2"), (3, "v3"), (4, "v4")]
