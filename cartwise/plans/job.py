@@ -98,42 +98,81 @@ def run_reports(
     write_lines(top_cart_lines(prepared, items, n), path_join(output_dir, EXPORT_NAME))
 
 
-def run_job(
+def prepare_to(
     spark: SparkSession,
-    data_dir: str,
-    output_dir: str,
-    top_limit: int = 50,
-    stage_dir: str | None = None,
+    data_dir: str | None,
+    stage_dir: str,
     raw_tables: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, int]:
-    """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook.
+    """Load the 8 sources, clean them and write them (plus ``cart_items``) to ``stage_dir``.
 
-    Returns the number of rows kept per prepared table.
+    Returns the number of rows kept per table (observed during the write).
     """
     if raw_tables is None:
         from ..specs import SPECS
 
         size_shuffle_partitions(spark, input_bytes(spark, [path_join(data_dir, s.file) for s in SPECS.values()]))
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
-    stage_dir = stage_dir or scratch_path(spark, "stage")
     observed: dict = {}
-    staged = stage_prepared(spark, prepare_all(raw), stage_dir, observed)
+    stage_prepared(spark, prepare_all(raw), stage_dir, observed)
+    return {name: obs.get["rows"] for name, obs in observed.items()}
+
+
+def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
+    from ..specs import SPECS
+
+    return {name: spark.read.parquet(path_join(stage_dir, name)) for name in (*SPECS, "cart_items")}
+
+
+def reports_from(spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50) -> None:
+    """The 7 reports and the export from tables written by ``prepare_to``."""
+    staged = staged_tables(spark, stage_dir)
     items = staged.pop("cart_items")
     run_reports(staged, output_dir, top_limit, items=items, stage_dir=stage_dir)
-    return {name: obs.get["rows"] for name, obs in observed.items()}
+
+
+def run_job(
+    spark: SparkSession,
+    data_dir: str | None,
+    output_dir: str,
+    top_limit: int = 50,
+    stage_dir: str | None = None,
+    raw_tables: Mapping[str, DataFrame] | None = None,
+) -> dict[str, int]:
+    """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook.
+
+    Returns the number of rows kept per prepared table.
+    """
+    stage_dir = stage_dir or scratch_path(spark, "stage")
+    kept = prepare_to(spark, data_dir, stage_dir, raw_tables)
+    reports_from(spark, stage_dir, output_dir, top_limit)
+    return kept
 
 
 def main(argv: list[str] | None = None) -> None:
     import argparse
 
     p = argparse.ArgumentParser(description="Abandoned-basket reports on Spark")
-    p.add_argument("--data-dir", required=True)
-    p.add_argument("--output-dir", required=True)
-    p.add_argument("--top-limit", type=int, default=50)
-    p.add_argument("--stage-dir", default=None)
+    sub = p.add_subparsers(dest="command")
+    for name in ("prepare", "reports", "run"):
+        sp = sub.add_parser(name)
+        if name in ("prepare", "run"):
+            sp.add_argument("--data-dir", required=True)
+        if name in ("reports", "run"):
+            sp.add_argument("--output-dir", required=True)
+            sp.add_argument("--top-limit", type=int, default=50)
+        sp.add_argument("--stage-dir", required=name != "run", default=None)
     a = p.parse_args(argv)
+    if a.command is None:
+        p.error("choose a command: prepare, reports or run")
     spark = SparkSession.builder.appName("cartwise").getOrCreate()
-    run_job(spark, a.data_dir, a.output_dir, a.top_limit, a.stage_dir)
+    if a.command == "prepare":
+        for table, n in prepare_to(spark, a.data_dir, a.stage_dir).items():
+            print(f"{table}\t{n}")
+    elif a.command == "reports":
+        reports_from(spark, a.stage_dir, a.output_dir, a.top_limit)
+    else:
+        run_job(spark, a.data_dir, a.output_dir, a.top_limit, a.stage_dir)
 
 
 if __name__ == "__main__":

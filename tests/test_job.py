@@ -27,6 +27,35 @@ def test_run_job_end_to_end(spark, tmp_path):
     assert len(glob.glob(os.path.join(out, "top_produtos_abandonados.csv", "part-*"))) == 1
 
 
+def _write_sources(spark, data):
+    from fixtures import ROWS, SCHEMAS
+
+    from cartwise.specs import SPECS
+
+    data.mkdir()
+    for name, spec in SPECS.items():
+        df = spark.createDataFrame(ROWS[name], SCHEMAS[name]).toDF(*spec.columns)
+        if spec.fmt == "csv":
+            lines = ["|".join(f'"{c}"' for c in spec.columns)]
+            lines += ["|".join("" if v is None else (f'"{v}"' if "|" in str(v) else str(v)) for v in r) for r in ROWS[name]]
+            (data / spec.file).write_text("\n".join(lines) + "\n", encoding="utf-8")
+        else:
+            df.coalesce(1).write.parquet(str(data / spec.file))
+
+
+def test_cli_prepare_then_reports(spark, tmp_path, capsys):
+    from cartwise.plans.job import main
+
+    _write_sources(spark, tmp_path / "data")
+    stage, out = str(tmp_path / "stage"), str(tmp_path / "out")
+    main(["prepare", "--data-dir", str(tmp_path / "data"), "--stage-dir", stage])
+    counts = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert counts["tb_carts"] == "4" and counts["tb_regions"] == "1"
+    main(["reports", "--stage-dir", stage, "--output-dir", out, "--top-limit", "2"])
+    for name in REPORT_NAMES:
+        assert glob.glob(os.path.join(out, f"{name}.csv", "part-*")), name
+
+
 def test_run_job_from_source_files(spark, tmp_path):
     """The catalogue path: 4 pipe-delimited CSV and 4 Parquet files in source spelling."""
     from fixtures import ROWS, SCHEMAS
