@@ -16,6 +16,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files of operators (pair sets, hierarchy levels) are removed once
+    # the driver no longer references them, so the shared folder does not fill up
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
