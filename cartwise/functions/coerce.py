@@ -31,6 +31,28 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+# A plain or exponent-notation number: sign, integer digits, fraction digits, exponent.
+_NUMBER = "^[+-]?([0-9]*)(?:[.]([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
+
+
+def _exactly_integral_text(t: str) -> str:
+    """True when the text is a number whose value is an integer, decided on the digits.
+
+    The value is D x 10^(e - f) for the digit string D (integer and fraction
+    digits), fraction length f and exponent e; it is integral when the last
+    f - e digits of D are zeros. This avoids the rounding of a decimal cast,
+    which would turn '1E-20' into 0.
+    """
+    ip = f"regexp_extract({t}, '{_NUMBER}', 1)"
+    fp = f"regexp_extract({t}, '{_NUMBER}', 2)"
+    ex = f"regexp_extract({t}, '{_NUMBER}', 3)"
+    k = f"(length({fp}) - coalesce(try_cast(nullif({ex}, '') as int), 0))"
+    return (
+        f"({t} rlike '{_NUMBER}' and ({ex} = '' or try_cast({ex} as int) is not null)"
+        f" and ({k} <= 0 or not (right(concat({ip}, {fp}), {k}) rlike '[1-9]')))"
+    )
+
+
 def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
     if isinstance(source, _INTEGRAL):
         return f"try_cast({c} as {target})"
@@ -38,8 +60,9 @@ def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
         return f"case when not isnan({c}) and {c} = floor({c}) then try_cast({c} as {target}) end"
     if isinstance(source, T.DecimalType):
         return f"case when {c} = floor({c}) then try_cast({c} as {target}) end"
-    d = f"try_cast(trim(cast({c} as string)) as {_WIDE})"
-    return f"case when {d} = floor({d}) then try_cast({d} as {target}) end"
+    t = f"trim(cast({c} as string))"
+    d = f"try_cast({t} as {_WIDE})"
+    return f"case when {_exactly_integral_text(t)} and {d} = floor({d}) then try_cast({d} as {target}) end"
 
 
 def decimal_sql(c: str, source: T.DataType, target: str = "decimal(18,4)") -> str:

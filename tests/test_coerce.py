@@ -9,10 +9,11 @@ from cartwise.specs import SPECS, normalize_name, table_key
 
 
 def test_integer_text(spark):
-    vals = ["10.0", " 7 ", "1e3", "10.5", "nan", "x", "9223372036854775808", None]
+    vals = ["10.0", " 7 ", "1e3", "10.5", "nan", "x", "9223372036854775808", None,
+            "1E-20", "3.0000000000000000001", "1500e-2", "15e-1", "-4.000", "+12", "0.0e5", "1e-99999999999"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     out = [r[0] for r in df.select(to_integer("s", T.StringType())).collect()]
-    assert out == [10, 7, 1000, None, None, None, None, None]
+    assert out == [10, 7, 1000, None, None, None, None, None, None, None, 15, None, -4, 12, 0, None]
 
 
 def test_nan_foreign_key_is_null_never_zero(spark):

@@ -43,7 +43,9 @@ def _expected(text):
         d = Decimal(text.strip())
     except InvalidOperation:
         return None
-    if not d.is_finite() or d != d.to_integral_value():
+    if not d.is_finite() or d.adjusted() > 30:  # far beyond bigint; avoids huge ints
+        return None
+    if d != d.to_integral_value():
         return None
     v = int(d)
     return v if -(2 ** 63) <= v < 2 ** 63 else None
