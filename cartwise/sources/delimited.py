@@ -1,9 +1,13 @@
 """Delimited text scan (header, ``|`` separator, ``"`` quote, every column text).
 
+Columns are picked by header name (a file may hold more columns than the
+declared ones, in any order); without a header they are taken by position.
+
 Ragged rows: short rows are padded with NULLs and long rows are cut to the
-declared columns, as both reference paths do — but never silently. The schema
-carries one sentinel column ``_extra``; a row that fills it has more fields than
-declared and is reported by ``read_delimited_checked``.
+header's columns, as both reference paths do — but never silently. The schema
+carries one sentinel column ``_extra`` after the header's columns; a row that
+fills it has more fields than the header and is reported by
+``read_delimited_checked``.
 """
 
 from __future__ import annotations
@@ -47,8 +51,15 @@ def read_delimited_checked(
     null_tokens: Sequence[str] = ("",),
 ) -> tuple[DataFrame, DataFrame]:
     """Return ``(rows, long_rows)``: declared columns, and the rows that had surplus fields."""
-    raw = _reader(spark, columns, sep, quote, header).csv(path)
-    raw = _null_tokens(raw, columns, null_tokens)
+    names = list(columns)
+    if header:
+        # the header line only (Spark reads the first line to name the columns)
+        names = (
+            spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
+            .csv(path).columns
+        )
+    raw = _reader(spark, names, sep, quote, header).csv(path)
+    raw = _null_tokens(raw, names, null_tokens)
     rows = raw.select(*columns)
     long_rows = raw.where(F.col(EXTRA).isNotNull())
     return rows, long_rows

@@ -28,3 +28,20 @@ def test_null_tokens(spark, tmp_path):
     assert [r["p_code"] for r in rows] == [None, None, "x"]
     rows = read_delimited(spark, path, ["PK", "p_code"]).orderBy("PK").collect()
     assert [r["p_code"] for r in rows] == ["NA", None, "x"]
+
+
+def test_columns_by_header_name(spark, tmp_path):
+    text = '"p_isocodeshort"|"extra"|"PK"|"p_isocode"\nSP|x|1|BR-SP\nRJ|y|2|BR-RJ|surplus\n'
+    path = _write(tmp_path, text)
+    rows, long_rows = read_delimited_checked(spark, path, ["PK", "p_isocode", "p_isocodeshort"])
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "BR-SP", "SP"), ("2", "BR-RJ", "RJ")]
+    assert [r["PK"] for r in long_rows.collect()] == ["2"]
+
+
+def test_missing_declared_column_fails(spark, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    path = _write(tmp_path, "PK|p_code\n1|a\n")
+    with pytest.raises(AnalysisException):
+        read_delimited(spark, path, ["PK", "p_isocode"]).collect()
