@@ -91,3 +91,14 @@ def test_export_lines(spark):
         '13||50.0000|"u|1"|1-URGENT|3|site one|01000|0.0000|0',
         "12|2024-02-01 00:00:00|0.0000|\"u|1\"|1-URGENT|3|site one||0.0000|0",
     ]
+
+
+def test_top_carts_distributed_path_matches_local(spark, monkeypatch):
+    p = prepared(spark)
+    items = cart_items(p["tb_cartentries"])
+    local = [tuple(r) for r in reports.top_carts(p, items, 3).collect()]
+    monkeypatch.setattr(reports, "LOCAL_TOP_MAX", 0)  # force the checkpoint + semi-join path
+    dist = [tuple(r) for r in reports.top_carts(p, items, 3).collect()]
+    assert dist == local and len(local) == 6
+    lines_local = ordered_lines(top_cart_lines(p, items, 4))
+    assert [r.line for r in lines_local.collect()][0].startswith("10|")
