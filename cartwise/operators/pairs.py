@@ -20,9 +20,11 @@ pair with a product below ``T`` has a true count below ``T``, and its partial
 a pair can never enter the top n, while every pair of two kept products is
 counted over all baskets. ``T`` reaches the plan as a scalar subquery.
 
-``bp`` is read by several branches, so it is written once to the reliable
-checkpoint folder; one cheap check over it decides whether any heavy basket
-exists — if none does, the plan is the plain self-join.
+``bp`` is read by several branches, so by default it is written once to the
+reliable checkpoint folder; one cheap check over it decides whether any heavy
+basket exists — if none does, the plan is the plain self-join. When ``items``
+is a staged table bucketed on the basket (the job), recomputing ``bp`` is a
+scan plus a local aggregate, and ``materialize=False`` skips the write.
 """
 
 from __future__ import annotations
@@ -55,14 +57,16 @@ def top_pairs(
     product: str = "product_id",
     max_basket: int | None = 1000,
     probe_products: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     bp = basket_products(items, basket, product)
     if max_basket is None or n <= 0:
         counts = pair_counts(bp, basket, product)
         return counts.orderBy(*_rank()).limit(n)
 
-    checkpoint_dir(bp.sparkSession)
-    bp = bp.checkpoint(eager=True)
+    if materialize:
+        checkpoint_dir(bp.sparkSession)
+        bp = bp.checkpoint(eager=True)
     sizes = bp.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
     if sizes.where(F.col("_size") > max_basket).limit(1).count() == 0:
         counts = pair_counts(bp, basket, product)

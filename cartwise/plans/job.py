@@ -97,7 +97,8 @@ def build_reports(
         rollup = _stage(spark, rollup, path_join(stage_dir, "cart_rollup"))
     return {
         "top_produtos_abandonados": reports.top_products(items, n),
-        "top_duplas_produtos_abandonados": reports.top_pairs(items, n),
+        # staged items are a written (bucketed) table: re-reading them beats a checkpoint copy
+        "top_duplas_produtos_abandonados": reports.top_pairs(items, n, materialize=stage_dir is None),
         "produtos_com_aumento_abandono": reports.rising_products(stats=stats, n=n),
         "produtos_novos_primeiro_mes": reports.first_month(stats=stats),
         "abandonos_por_estado": reports.by_state(rollup),

@@ -46,8 +46,8 @@ def top_products(items: DataFrame, n: int = 50) -> DataFrame:
 
 
 # R2
-def top_pairs(items: DataFrame, n: int = 50, max_basket: int | None = 1000) -> DataFrame:
-    return _top_pairs(items, n, max_basket=max_basket)
+def top_pairs(items: DataFrame, n: int = 50, max_basket: int | None = 1000, materialize: bool = True) -> DataFrame:
+    return _top_pairs(items, n, max_basket=max_basket, materialize=materialize)
 
 
 # R6 (also the shared input of R3 and R4)

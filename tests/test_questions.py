@@ -65,6 +65,6 @@ def test_pairs_heavy_baskets_exact(spark):
     rows = [(cid, p) for cid, ps in baskets.items() for p in ps]
     items = spark.createDataFrame(rows, "cart_id long, product_id long")
     want = _brute_pairs(baskets, 25)
-    for mb in (None, 8, 1000):
-        got = [tuple(r) for r in top_pairs(items, 25, max_basket=mb).collect()]
-        assert got == want, mb
+    for mb, mat in ((None, True), (8, True), (8, False), (1000, True)):
+        got = [tuple(r) for r in top_pairs(items, 25, max_basket=mb, materialize=mat).collect()]
+        assert got == want, (mb, mat)
