@@ -68,7 +68,12 @@ def start_ingest(
 ) -> StreamingQuery:
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("sep", "|").option("quote", '"').option("escape", '"')
+        # a stream's schema is declared up front; the header of every file is checked
+        # against it (enforceSchema=false), so a file with other columns fails loudly
+        reader = (
+            reader.option("header", True).option("sep", "|").option("quote", '"').option("escape", '"')
+            .option("enforceSchema", False)
+        )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.load(source_dir)

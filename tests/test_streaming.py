@@ -28,3 +28,16 @@ def test_stream_over_arriving_files(spark, tmp_path):
                      str(tmp_path / "ck"), files_per_batch=1)
     q.awaitTermination()
     assert _rows(stored_table(spark, str(tmp_path / "t"))) == [(1, "a"), (2, "c")]
+
+
+def test_stream_over_csv_files(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    spec = SPECS["tb_users"]
+    src = tmp_path / "csv"
+    src.mkdir()
+    (src / "a.csv").write_text('"PK"|"p_uid"\n1|a\n', encoding="utf-8")
+    schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("p_uid", T.StringType())])
+    q = start_ingest(spark, str(src), schema, spec, str(tmp_path / "t"), str(tmp_path / "ck"), fmt="csv")
+    q.awaitTermination()
+    assert _rows(stored_table(spark, str(tmp_path / "t"))) == [(1, "a")]
