@@ -24,7 +24,7 @@ A cycle, or a chain longer than ``max_depth``, raises instead of looping.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -34,10 +34,17 @@ class HierarchyTooDeep(RuntimeError):
     pass
 
 
-def _materialize(df: DataFrame, reliable: bool) -> DataFrame:
+def _level(df: DataFrame, reliable: bool) -> tuple[DataFrame, bool]:
+    """Materialise a jump level; also report whether any node still has an ancestor.
+
+    With checkpointing the count is observed during the checkpoint write itself
+    (no second pass over the level).
+    """
     if reliable:
-        return df.checkpoint(eager=True)
-    return df
+        obs = Observation("jump_level")
+        lvl = df.observe(obs, F.count("up").alias("n")).checkpoint(eager=True)
+        return lvl, obs.get["n"] > 0
+    return df, df.where(F.col("up").isNotNull()).limit(1).count() > 0
 
 
 def nearest_ancestor(
@@ -55,7 +62,7 @@ def nearest_ancestor(
         checkpoint_dir(spark)
     nodes = df.select(F.col(node).alias("_id"), F.col(parent).alias("_par"), F.col(value).alias("_v"))
     ref = nodes.select(F.col("_id").alias("_pid"), F.col("_v").alias("_pv"))
-    lvl = _materialize(
+    lvl, more = _level(
         nodes.join(ref, F.col("_par") == F.col("_pid"), "left").select(
             F.col("_id").alias("node"), F.col("_pid").alias("up"), F.col("_pv").alias("mx")
         ),
@@ -63,7 +70,7 @@ def nearest_ancestor(
     )
     levels = [lvl]
     span = 1
-    while lvl.where(F.col("up").isNotNull()).limit(1).count() > 0:
+    while more:
         if span >= max_depth:
             raise HierarchyTooDeep(f"ancestor chain longer than max_depth={max_depth} (cycle?)")
         nxt = lvl.alias("a").join(lvl.alias("b"), F.col("a.up") == F.col("b.node"), "left").select(
@@ -71,7 +78,7 @@ def nearest_ancestor(
             F.col("b.up").alias("up"),
             F.greatest(F.col("a.mx"), F.col("b.mx")).alias("mx"),
         )
-        lvl = _materialize(nxt, reliable)
+        lvl, more = _level(nxt, reliable)
         levels.append(lvl)
         span *= 2
     # levels[-1] has no ancestors at all; chains are shorter than 2^(len(levels)-1).
