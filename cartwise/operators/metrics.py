@@ -44,3 +44,22 @@ def observe_load(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled by whatever action runs ``df`` next."""
     obs = Observation(f"load_{name}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def observe_raw(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation]:
+    """Attach rows-read / NULL-key / rejected-value counters to a raw source.
+
+    They are filled by whatever action consumes the frame (the staging write), so
+    the load metrics cost no extra pass. Duplicates follow as
+    ``rows_read - null_keys - rows_kept``.
+    """
+    types = {f.name: f.dataType for f in raw.schema.fields}
+    key = coerce_sql(q(spec.key), types[spec.key], spec.target_type(spec.key))
+    flags = " + ".join(rejected_flags_sql(raw, spec))
+    obs = Observation(f"raw_{spec.name}")
+    return raw.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows_read"),
+        F.expr(f"coalesce(sum(case when ({key}) is null then 1 else 0 end), 0)").alias("null_keys"),
+        F.expr(f"coalesce(sum({flags}), 0)").alias("rejected_values"),
+    ), obs

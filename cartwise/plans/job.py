@@ -13,13 +13,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.metrics import observe_load
+from ..operators.metrics import observe_load, observe_raw
 from ..session import input_bytes, scratch_path, size_shuffle_partitions
 from ..sinks import write_lines, write_report
 from ..sources.catalog import load_sources, path_join
 from . import reports
 from .export import top_cart_lines
-from .prepare import prepare_all
+from .prepare import LazyTables, prepare, prepare_all
 from .views import cart_enriched, cart_items
 
 # Report names (output folder names).
@@ -132,17 +132,33 @@ def prepare_to(
 ) -> dict[str, int]:
     """Load the 8 sources, clean them and write them (plus ``cart_items``) to ``stage_dir``.
 
-    Returns the number of rows kept per table (observed during the write).
+    Returns per table: rows_read, null_keys, rejected_values, rows_kept and
+    duplicates, all observed during the staging write (no extra pass).
     """
     if raw_tables is None:
         from ..specs import SPECS
 
         size_shuffle_partitions(spark, input_bytes(spark, [path_join(data_dir, s.file) for s in SPECS.values()]))
+    from ..specs import SPECS
+
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
-    observed: dict = {}
-    staged = stage_prepared(spark, prepare_all(raw), stage_dir, observed)
+    raw_obs: dict = {}
+
+    def observed(name: str) -> DataFrame:
+        df, raw_obs[name] = observe_raw(raw[name], SPECS[name])
+        return df
+
+    prepared = LazyTables({name: (lambda n=name: prepare(observed(n), SPECS[n])) for name in raw})
+    kept_obs: dict = {}
+    staged = stage_prepared(spark, prepared, stage_dir, kept_obs)
     spark.__dict__.setdefault("_cartwise_staged", {})[stage_dir] = staged
-    return {name: obs.get["rows"] for name, obs in observed.items()}
+    out = {}
+    for name, obs in kept_obs.items():
+        m = dict(raw_obs[name].get)
+        m["rows_kept"] = obs.get["rows"]
+        m["duplicates"] = m["rows_read"] - m["null_keys"] - m["rows_kept"]
+        out[name] = m
+    return out
 
 
 def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
@@ -174,7 +190,7 @@ def run_job(
 ) -> dict[str, int]:
     """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook.
 
-    Returns the number of rows kept per prepared table.
+    Returns the load metrics per table (see ``prepare_to``).
     """
     stage_dir = stage_dir or scratch_path(spark, "stage")
     kept = prepare_to(spark, data_dir, stage_dir, raw_tables)
@@ -200,8 +216,10 @@ def main(argv: list[str] | None = None) -> None:
         p.error("choose a command: prepare, reports or run")
     spark = SparkSession.builder.appName("cartwise").getOrCreate()
     if a.command == "prepare":
-        for table, n in prepare_to(spark, a.data_dir, a.stage_dir).items():
-            print(f"{table}\t{n}")
+        cols = ("rows_kept", "rows_read", "null_keys", "duplicates", "rejected_values")
+        print("table\t" + "\t".join(cols))
+        for table, m in prepare_to(spark, a.data_dir, a.stage_dir).items():
+            print(table + "\t" + "\t".join(str(m[c]) for c in cols))
     elif a.command == "reports":
         reports_from(spark, a.stage_dir, a.output_dir, a.top_limit)
     else:

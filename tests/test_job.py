@@ -10,7 +10,17 @@ def test_run_job_end_to_end(spark, tmp_path):
     out = str(tmp_path / "out")
     kept = run_job(spark, data_dir=None, output_dir=out, top_limit=5, stage_dir=str(tmp_path / "stage"),
                    raw_tables=driver.source_tables(spark, SF_SMALL))
-    assert kept["tb_regions"] == 25 and kept["tb_paymentmodes"] == 5 and kept["tb_cartentries"] > 0
+    assert kept["tb_regions"]["rows_kept"] == 25 and kept["tb_paymentmodes"]["rows_kept"] == 5
+    pm = kept["tb_paymentmodes"]
+    assert pm["rows_read"] == pm["rows_kept"] + pm["duplicates"] + pm["null_keys"] and pm["duplicates"] > 0
+    assert kept["tb_cartentries"]["rejected_values"] == 0
+    # the observed metrics equal the aggregate form of the registered load_metrics query
+    from cartwise.plans.suite import q_load_metrics
+
+    for r in q_load_metrics(spark, SF_SMALL).collect():
+        m = kept[r["table_name"]]
+        assert (m["rows_read"], m["null_keys"], m["duplicates"], m["rejected_values"], m["rows_kept"]) == (
+            r["rows_read"], r["null_keys"], r["duplicates"], r["rejected_values"], r["rows_kept"]), r["table_name"]
     for name in REPORT_NAMES:
         parts = glob.glob(os.path.join(out, f"{name}.csv", "part-*"))
         assert parts, name
@@ -49,7 +59,9 @@ def test_cli_prepare_then_reports(spark, tmp_path, capsys):
     _write_sources(spark, tmp_path / "data")
     stage, out = str(tmp_path / "stage"), str(tmp_path / "out")
     main(["prepare", "--data-dir", str(tmp_path / "data"), "--stage-dir", stage])
-    counts = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    rows = [line.split("\t") for line in capsys.readouterr().out.strip().splitlines()]
+    counts = {r[0]: r[1] for r in rows[1:]}
+    assert rows[0][:2] == ["table", "rows_kept"]
     assert counts["tb_carts"] == "4" and counts["tb_regions"] == "1"
     main(["reports", "--stage-dir", stage, "--output-dir", out, "--top-limit", "2"])
     for name in REPORT_NAMES:
@@ -74,7 +86,9 @@ def test_run_job_from_source_files(spark, tmp_path):
             df.coalesce(1).write.parquet(str(data / spec.file))
     out = str(tmp_path / "out")
     kept = run_job(spark, str(data), out, top_limit=4, stage_dir=str(tmp_path / "stage"))
-    assert kept["tb_users"] == 2 and kept["tb_cartentries"] == len(ROWS["tb_cartentries"])
+    assert kept["tb_users"]["rows_kept"] == 2
+    assert kept["tb_cartentries"]["rows_kept"] == len(ROWS["tb_cartentries"])
+    assert kept["tb_carts"]["rows_read"] == 4 and kept["tb_carts"]["null_keys"] == 0
     lines = []
     for part in sorted(glob.glob(os.path.join(out, EXPORT_NAME, "part-*"))):
         with open(part) as f:
