@@ -47,3 +47,16 @@ def test_load_many_batches_with_checkpoints(spark):
     batches = [spark.createDataFrame([(i % 5, f"v{i}")], "k long, v string") for i in range(12)]
     out = sorted(tuple(r) for r in load_batches(batches, "k", checkpoint_every=3).collect())
     assert out == [(0, "v0"), (1, "v1"), (2, "v2"), (3, "v3"), (4, "v4")]
+
+
+def test_load_metrics_counts(spark):
+    from cartwise.operators import load_metrics, table_counts
+
+    spec = SPECS["tb_users"]
+    raw = spark.createDataFrame([("1", "a"), ("1", "b"), ("x", "c"), (None, "d"), ("2.5", "e"), ("3", None)],
+                                "pk string, p_uid string")
+    m = load_metrics(raw, spec).first().asDict()
+    assert m == {"table_name": "tb_users", "rows_read": 6, "null_keys": 3, "duplicates": 1,
+                 "rejected_values": 2, "rows_kept": 2}
+    counts = {r.table_name: r.row_count for r in table_counts({"users": prepare(raw, spec)}).collect()}
+    assert counts == {"users": 2}
