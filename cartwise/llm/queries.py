@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwise.llm import simhash, url_filter
+from cartwise.llm import bpe, simhash, url_filter
 from cartwise.llm.common import table
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file on the driver; it is read there and never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.digest(docs, bpe.Bpe.from_json(tokenizer_path()))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash.cluster(docs, width=4, max_distance=4)
@@ -21,6 +33,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op10_url_filter": op10_url_filter,
 }
