@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwise.llm import bpe, simhash, url_filter
+from cartwise.llm import bpe, hpyp, simhash, url_filter
 from cartwise.llm.common import table
 
 
+def op1_hpyp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return hpyp.score(docs, held_out=held_out)
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's file on the driver; it is read there and never copied."""
     import public_tokenizers
@@ -33,6 +40,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hpyp": op1_hpyp,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op10_url_filter": op10_url_filter,
