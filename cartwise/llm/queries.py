@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import bpe, hpyp, simhash, url_filter
+from cartwise.llm import bpe, divergence, hpyp, kneser_ney, simhash, url_filter
 from cartwise.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_hpyp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpyp.score(docs, held_out=held_out)
 
 
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's file on the driver; it is read there and never copied."""
     import public_tokenizers
@@ -34,6 +39,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.cluster(docs, width=4, max_distance=4)
 
 
+def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return divergence.judge(docs).drop("lang")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge(pages, url_filter.CONTRACT_RULES).drop("url")
@@ -41,8 +51,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hpyp": op1_hpyp,
+    "op2_kneser_ney": op2_kneser_ney,
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
+    "op5_divergence": op5_divergence,
     "op10_url_filter": op10_url_filter,
 }
 
