@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import bpe, divergence, hpyp, kneser_ney, simhash, url_filter
+from cartwise.llm import bpe, decontaminate, divergence, hpyp, kneser_ney, license_scan, simhash, url_filter
 from cartwise.llm.common import table
 
 
@@ -44,6 +44,15 @@ def op5_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(docs).drop("lang")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.report(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), size=10)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge(pages, url_filter.CONTRACT_RULES).drop("url")
@@ -55,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_simhash": op4_simhash,
     "op5_divergence": op5_divergence,
+    "op6_decontaminate": op6_decontaminate,
+    "op8_license_scan": op8_license_scan,
     "op10_url_filter": op10_url_filter,
 }
 
