@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import bpe, decontaminate, divergence, hpyp, kneser_ney, license_scan, simhash, url_filter
+from cartwise.llm import bpe, decontaminate, divergence, hpyp, kneser_ney, license_scan, separators, simhash, surrogates, url_filter
 from cartwise.llm.common import table
 
+END_OF_TEXT = 50256  # of the byte-level vocabulary
+SURROGATE_KEY = "registered-queries"  # a real run passes a secret
+
 
 def op1_hpyp(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -49,10 +52,20 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), size=10)
 
 
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return separators.document_tokens(docs, bpe.Bpe.from_json(tokenizer_path()), END_OF_TEXT)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return surrogates.pseudonymise(docs, SURROGATE_KEY, count="n_entities")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.judge(pages, url_filter.CONTRACT_RULES).drop("url")
@@ -65,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_divergence": op5_divergence,
     "op6_decontaminate": op6_decontaminate,
+    "op7_separator_scan": op7_separator_scan,
     "op8_license_scan": op8_license_scan,
+    "op9_surrogates": op9_surrogates,
     "op10_url_filter": op10_url_filter,
 }
 
