@@ -7,11 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cartwise.llm import bpe, decontaminate, divergence, hpyp, kneser_ney, license_scan, separators, simhash, surrogates, url_filter
 from cartwise.llm.common import table
-
-END_OF_TEXT = 50256  # of the byte-level vocabulary
-SURROGATE_KEY = "registered-queries"  # a real run passes a secret
+from cartwise.llm.settings import END_OF_TEXT, SURROGATE_KEY, tokenizer_path
 
 
 def op1_hpyp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,13 +24,6 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    """A public tokenizer's file on the driver; it is read there and never copied."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.digest(docs, bpe.Bpe.from_json(tokenizer_path()))
@@ -71,6 +63,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.CONTRACT_RULES).drop("url")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hpyp": op1_hpyp,
     "op2_kneser_ney": op2_kneser_ney,
@@ -82,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_surrogates": op9_surrogates,
     "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }
 
 _OP10 = r"""

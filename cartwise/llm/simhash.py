@@ -32,13 +32,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import stored
+from cartwise.llm.common import small, stored
 
 SEED = 42
 MAX_ROUNDS = 64
+CROWD = 1024
+MAX_BROADCAST_ROWS = 1_000_000  # 8 MB of row numbers
 
 
 def fingerprint(text: bytes | None, width: int = 4) -> int:
@@ -141,17 +143,20 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def chain_links(fps: DataFrame, max_distance: int) -> DataFrame:
     """Verified links between neighbours in the order of each (salted) variant bucket."""
-    index = variants(fps, max_distance, "fp")
+    index = variants(_spread(fps, "fp"), max_distance, "fp")
     rotated = F.call_function("shiftleft", F.col("fp"), F.lit(13))
     salt = F.pmod(F.col("fp").bitwiseXOR(F.shiftrightunsigned("fp", 32)), F.lit(16)).cast("byte")
-    from pyspark.sql import Window
-
     w = Window.partitionBy("slot", "value", "salt").orderBy(rotated, "fp")
     pairs = index.withColumn("salt", salt).select("fp", F.lag("fp").over(w).alias("before"))
     return pairs.where(F.col("before").isNotNull() & _near("fp", "before", max_distance)).select(
         F.least("fp", "before").alias("a"), F.greatest("fp", "before").alias("b")).distinct()
 
 
+def _spread(df: DataFrame, *by: str) -> DataFrame:
+    """Small rows that are about to become many: dealt over all shuffle partitions first."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def cross_links(labelled: DataFrame, max_distance: int) -> DataFrame:
     """Verified links (a, b) between the components of ``labelled`` (fp, comp): the complete
     equality join over variant buckets, made only where a bucket holds two components."""
@@ -165,18 +170,39 @@ def cross_links(labelled: DataFrame, max_distance: int) -> DataFrame:
         "a", "b").distinct()
 
 
-def cluster(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4,
-            max_distance: int = 4) -> DataFrame:
-    """``docs`` without its text, with ``fingerprint`` (16 hex digits) and ``component_id``."""
-    keep = [c for c in docs.columns if c not in ("fingerprint", "component_id", text)]
+def _labelled(docs: DataFrame, keep: list[str], doc_id: str, text: str, width: int, max_distance: int) -> tuple[DataFrame, DataFrame]:
+    """The stored rows (``keep``, _fp), and (_fp, top, component_id) for each distinct fingerprint."""
     rows = stored(fingerprints(docs.select(*keep, text), text=text, width=width, out="_fp"), "simhash-rows")
     nodes = stored(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(doc_id).alias("least")), "simhash-nodes")
     first = stored(components(nodes, chain_links(nodes.select("fp"), max_distance)), "simhash-first")
     heads = first.select("comp").distinct().withColumnRenamed("comp", "fp")
     second = components(heads, cross_links(first, max_distance)).toDF("comp", "top")
     whole = first.join(second, "comp").select("fp", "top")
-    ids = (nodes.join(whole, "fp").select("fp", "top", "least"))
-    least = ids.groupBy("top").agg(F.min("least").alias("component_id"))
-    final = whole.join(least, "top").select(F.col("fp").alias("_fp"), "component_id")
+    least = nodes.join(whole, "fp").groupBy("top").agg(F.min("least").alias("component_id"))
+    return rows, whole.join(least, "top").select(F.col("fp").alias("_fp"), "top", "component_id")
+
+
+def cluster(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4,
+            max_distance: int = 4) -> DataFrame:
+    """``docs`` without its text, with ``fingerprint`` (16 hex digits) and ``component_id``."""
+    keep = [c for c in docs.columns if c not in ("fingerprint", "component_id", text)]
+    rows, final = _labelled(docs, keep, doc_id, text, width, max_distance)
     hexed = F.lower(F.lpad(F.hex("_fp"), 16, "0"))
     return rows.join(final, "_fp").select(*keep, hexed.alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4,
+                    max_distance: int = 4) -> DataFrame:
+    """One row of ``docs`` per component, unchanged: that with the smallest ``doc_id``, and among rows that
+    repeat it the first along the scan. A component of NULL ids alone keeps its first row.
+
+    Texts are not shuffled: rows are numbered along the scan, and the numbers of those that stay are joined
+    (broadcast when few).
+    """
+    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
+    rows, final = _labelled(numbered.select("_rid", doc_id, text), ["_rid", doc_id], doc_id, text, width, max_distance)
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_rid").alias("rid")))
+    best = (rows.groupBy("_fp").agg(first.alias("first")).join(final, "_fp")
+            .groupBy("top").agg(F.min("first")["rid"].alias("_rid")))
+    goes = stored(rows.select("_rid").join(best, "_rid", "left_anti"), "simhash-goes")
+    return numbered.join(small(goes, MAX_BROADCAST_ROWS), "_rid", "left_anti").select(*docs.columns)
