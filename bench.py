@@ -20,6 +20,7 @@ HEADLINE = [
     "dedup_entries", "cart_enriched", "top_products", "top_pairs", "rising_products", "first_month",
     "by_state", "product_month", "daily", "top_carts", "top_carts_lines", "league_points",
     "topk_sum_at_least", "nearest_ancestor", "insert_if_absent", "load_metrics",
+    "stream_ingest", "delimited_roundtrip", "table_counts", "lenient_casts",
 ]
 
 

@@ -1,7 +1,7 @@
-from .coerce import coerce_column, coerce_frame, rejected_flags_sql, to_decimal, to_integer, to_timestamp
+from .coerce import coerce_column, coerce_frame, to_decimal, to_integer, to_timestamp, with_coerced
 from .text import export_field, export_line, py_str_timestamp
 
 __all__ = [
-    "coerce_column", "coerce_frame", "rejected_flags_sql", "to_decimal", "to_integer", "to_timestamp",
+    "coerce_column", "coerce_frame", "to_decimal", "to_integer", "to_timestamp", "with_coerced",
     "export_field", "export_line", "py_str_timestamp",
 ]

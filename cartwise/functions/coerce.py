@@ -1,9 +1,9 @@
-"""Lenient coercion to the declared types (JVM-side expressions only).
+r"""Lenient coercion to the declared types (JVM-side expressions only).
 
 Rules
 -----
-- integers: text is parsed as an exact decimal first (so ``'10.0'``, ``' 7 '``
-  and ``'1e3'`` convert); a value that is not integral, NaN, infinite, junk or
+- integers: text is parsed as an exact decimal first (so ``'10.0'``, ``' 7\t'``
+  and ``'1e3'`` convert; white space at the ends does not count); a value that is not integral, NaN, infinite, junk or
   beyond the target range becomes NULL. Never 0, never truncated.
 - decimals: ``try_cast`` to ``decimal(18,4)``; NaN and junk become NULL.
 - timestamps: ``try_cast`` to ``timestamp_ntz``; junk becomes NULL.
@@ -31,6 +31,11 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _stripped(c: str) -> str:
+    """Without white space at either end (``trim`` alone takes off spaces only)."""
+    return f"trim(both ' \\t\\n\\u000b\\f\\r' from {c})"
+
+
 # A plain or exponent-notation number: sign, integer digits, fraction digits, exponent.
 _NUMBER = "^[+-]?([0-9]*)(?:[.]([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
 
@@ -57,19 +62,23 @@ def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
     if isinstance(source, _INTEGRAL):
         return f"try_cast({c} as {target})"
     if isinstance(source, _FLOATING):
-        return f"case when not isnan({c}) and {c} = floor({c}) then try_cast({c} as {target}) end"
+        # 2^63 itself is a double that a cast would clamp to the largest bigint
+        inside = f"{c} >= -9.223372036854775808E18D and {c} < 9.223372036854775808E18D"
+        return f"case when not isnan({c}) and {c} = floor({c}) and {inside} then try_cast({c} as {target}) end"
     if isinstance(source, T.DecimalType):
         return f"case when {c} = floor({c}) then try_cast({c} as {target}) end"
-    t = f"trim(cast({c} as string))"
+    t = _stripped(f"cast({c} as string)")
     d = f"try_cast({t} as {_WIDE})"
-    return f"case when {_exactly_integral_text(t)} and {d} = floor({d}) then try_cast({d} as {target}) end"
+    # plain digits are the common case and need no regular expression
+    return (f"coalesce(try_cast({t} as {target}), "
+            f"case when {_exactly_integral_text(t)} and {d} = floor({d}) then try_cast({d} as {target}) end)")
 
 
 def decimal_sql(c: str, source: T.DataType, target: str = "decimal(18,4)") -> str:
     if isinstance(source, _FLOATING):
         return f"case when not isnan({c}) then try_cast({c} as {target}) end"
     if isinstance(source, _TEXT):
-        return f"try_cast(trim({c}) as {target})"
+        return f"try_cast({_stripped(c)} as {target})"
     return f"try_cast({c} as {target})"
 
 
@@ -77,7 +86,7 @@ def timestamp_sql(c: str, source: T.DataType) -> str:
     if isinstance(source, T.TimestampNTZType):
         return c
     if isinstance(source, _TEXT):
-        return f"try_cast(trim({c}) as timestamp_ntz)"
+        return f"try_cast({_stripped(c)} as timestamp_ntz)"
     return f"try_cast({c} as timestamp_ntz)"
 
 
@@ -118,13 +127,14 @@ def coerce_frame(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def rejected_flags_sql(df: DataFrame, spec: TableSpec) -> list[str]:
-    """Per column: 1 where a non-null source value did not survive coercion."""
+COERCED = "_coerced_"
+
+
+def with_coerced(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The spec's columns as they came, each followed by its coerced value (``_coerced_<name>``)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return [
-        f"case when {q(n)} is not null and ({coerce_sql(q(n), types[n], spec.target_type(n))}) is null then 1 else 0 end"
-        for n in spec.normalized
-    ]
+    return df.selectExpr(*[e for n in spec.normalized for e in (
+        q(n), f"{coerce_sql(q(n), types[n], spec.target_type(n))} as {q(COERCED + n)}")])
 
 
-__all__ = ["to_integer", "to_decimal", "to_timestamp", "coerce_column", "coerce_frame", "rejected_flags_sql", "q"]
+__all__ = ["to_integer", "to_decimal", "to_timestamp", "coerce_column", "coerce_frame", "with_coerced", "COERCED", "q"]

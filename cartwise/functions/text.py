@@ -17,9 +17,11 @@ SEP = "|"
 
 
 def py_str_timestamp(c: Column) -> Column:
-    base = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    frac = F.date_format(c, "SSSSSS")
-    return F.when(frac == "000000", base).otherwise(F.concat(base, F.lit("."), frac))
+    """From the cast to text: ``date_format`` would take a ``timestamp_ntz`` through the session time zone,
+    which changes times that a daylight-saving gap skips."""
+    text = c.cast("string")  # a fraction is printed without trailing zeros
+    fraction = F.rpad(F.substring_index(text, ".", -1), 6, "0")
+    return F.when(F.contains(text, F.lit(".")), F.concat(F.substring_index(text, ".", 1), F.lit("."), fraction)).otherwise(text)
 
 
 def _as_text(c: Column, dtype: T.DataType) -> Column:

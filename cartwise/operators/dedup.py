@@ -40,17 +40,3 @@ def dedup_by_key(
     best = df.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(fields)}))").alias("_w"))
     return best.selectExpr(*[_q(c) if c in keys else f"_w.{names[c]} as {_q(c)}" for c in cols])
 
-
-def dedup_by_key_window(
-    df: DataFrame, keys: str | Sequence[str], order: Sequence[str] | None = None
-) -> DataFrame:
-    """The same winner via ``row_number`` (reference form; kept for cross-checks)."""
-    from pyspark.sql import Window
-
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    order = list(order) if order is not None else rest
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

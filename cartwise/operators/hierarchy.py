@@ -97,17 +97,3 @@ def nearest_ancestor(
     )
     return res.orderBy(F.col(node).asc_nulls_last())
 
-
-def nearest_ancestor_recursive_sql(view: str, node="id", parent="lider_id", value="salario", factor=2) -> str:
-    """The closure form (WITH RECURSIVE) for cross-checks on small inputs."""
-    return f"""
-    with recursive h as (
-        select c.{node} as e, c.{value} as ev, l.{node} as a, l.{value} as av, 1 as d
-        from {view} c left join {view} l on l.{node} = c.{parent}
-        union all
-        select h.e, h.ev, l.{node}, l.{value}, h.d + 1
-        from h join {view} cur on cur.{node} = h.a join {view} l on l.{node} = cur.{parent}
-    )
-    select c.{node}, (select min_by(h.a, h.d) from h where h.e = c.{node} and h.av >= {factor} * c.{value}) as {parent}
-    from {view} c order by c.{node}
-    """

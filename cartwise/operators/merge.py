@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
 from .dedup import dedup_by_key
 
 
@@ -28,23 +28,19 @@ def insert_if_absent(
     return target.unionByName(new_rows)
 
 
-def load_batches(
-    batches: Sequence[DataFrame],
-    keys: str | Sequence[str],
-    order: Sequence[str] | None = None,
-    checkpoint_every: int = 8,
-) -> DataFrame:
-    """Fold ``insert_if_absent`` over batches in arrival order.
+BATCH_SEQ = "_batch_seq"
+
+
+def load_batches(batches: Sequence[DataFrame], keys: str | Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """The table that ``insert_if_absent`` builds from a known list of batches in arrival order.
 
-    Every ``checkpoint_every`` batches the accumulated table is written to the
-    reliable checkpoint folder, so a long series of batches never builds an
-    ever-growing union lineage.
+    The first batch that holds a key wins, so a row's batch number is simply the first thing that rows of one
+    key are ordered by: one union, one aggregate, one exchange, for any number of batches.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    acc = dedup_by_key(batches[0], keys, order)
-    for i, b in enumerate(batches[1:], start=1):
-        acc = insert_if_absent(acc, b, keys, order)
-        if checkpoint_every and i % checkpoint_every == 0:
-            checkpoint_dir(acc.sparkSession)
-            acc = acc.checkpoint(eager=True)
-    return acc
+    rest = list(order) if order is not None else [c for c in batches[0].columns if c not in keys]
+    tagged = [b.withColumn(BATCH_SEQ, F.lit(i)) for i, b in enumerate(batches)]
+    whole = tagged[0]
+    for b in tagged[1:]:
+        whole = whole.unionByName(b)
+    return dedup_by_key(whole, keys, [BATCH_SEQ, *rest]).drop(BATCH_SEQ)

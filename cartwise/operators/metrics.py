@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import coerce_sql, q, rejected_flags_sql
+from ..functions.coerce import COERCED, q, with_coerced
 from ..specs import TableSpec
 
 
@@ -25,41 +25,15 @@ def load_metrics(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """rows_read, null_keys (after coercion), duplicate rows, rejected values, rows_kept.
 
     Duplicates are counted per key in a grouped partial aggregate, never by
-    collecting keys.
+    collecting keys. As a plain aggregate the counts stay exact when tasks run again.
     """
-    types = {f.name: f.dataType for f in raw.schema.fields}
-    key = coerce_sql(q(spec.key), types[spec.key], spec.target_type(spec.key))
-    flags = " + ".join(rejected_flags_sql(raw, spec))
-    per_key = raw.selectExpr(f"{key} as _k", f"{flags} as _rej").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
+    both = with_coerced(raw, spec)
+    rejected = " + ".join(f"case when {q(n)} is not null and {q(COERCED + n)} is null then 1 else 0 end" for n in spec.normalized)
+    per_key = both.selectExpr(f"{q(COERCED + spec.key)} as _k", f"{rejected} as _rej").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
     return per_key.agg(
-        F.sum("_n").alias("rows_read"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_read"),
         F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),
         F.coalesce(F.sum(F.when(F.col("_k").isNotNull(), F.col("_n") - 1)), F.lit(0)).alias("duplicates"),
         F.coalesce(F.sum("_rej"), F.lit(0)).alias("rejected_values"),
         F.count("_k").alias("rows_kept"),
     ).select(F.lit(spec.name).alias("table_name"), "*")
-
-
-def observe_load(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that is filled by whatever action runs ``df`` next."""
-    obs = Observation(f"load_{name}")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def observe_raw(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, Observation]:
-    """Attach rows-read / NULL-key / rejected-value counters to a raw source.
-
-    They are filled by whatever action consumes the frame (the staging write), so
-    the load metrics cost no extra pass. Duplicates follow as
-    ``rows_read - null_keys - rows_kept``.
-    """
-    types = {f.name: f.dataType for f in raw.schema.fields}
-    key = coerce_sql(q(spec.key), types[spec.key], spec.target_type(spec.key))
-    flags = " + ".join(rejected_flags_sql(raw, spec))
-    obs = Observation(f"raw_{spec.name}")
-    return raw.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_read"),
-        F.expr(f"coalesce(sum(case when ({key}) is null then 1 else 0 end), 0)").alias("null_keys"),
-        F.expr(f"coalesce(sum({flags}), 0)").alias("rejected_values"),
-    ), obs

@@ -1,30 +1,21 @@
 """Top co-occurring product pairs (number of baskets holding both products).
 
-The answer is exact; the plan keeps the number of emitted pairs bounded per
-basket wherever it can.
-
-- ``bp``: distinct (basket, product) with a non-null product (partial
-  aggregate, so repeated lines of a hot basket collapse map-side).
-- Light baskets (at most ``max_basket`` distinct products) contribute every
-  pair, as an equi self-join on the basket with the residual ``a < b``:
-  at most max_basket²/2 pairs per basket.
-- Heavy baskets contribute pairs only among products whose support (number of
-  baskets holding them) reaches ``T``, a lower bound for the n-th best pair
-  count. ``T`` comes from a probe over the ``m`` best-supported products only
-  (a broadcast list of ``m`` keys, at most m²/2 pairs per basket): any ``n``
-  exact pair counts bound the n-th best count from below.
-
-Why it is exact: a pair's count never exceeds either product's support, so a
-pair with a product below ``T`` has a true count below ``T``, and its partial
-(light-only) count is lower still; since at least ``n`` pairs reach ``T``, such
-a pair can never enter the top n, while every pair of two kept products is
-counted over all baskets. ``T`` reaches the plan as a scalar subquery.
-
-``bp`` is read by several branches, so by default it is written once to the
-reliable checkpoint folder; one cheap check over it decides whether any heavy
-basket exists — if none does, the plan is the plain self-join. When ``items``
-is a staged table bucketed on the basket (the job), recomputing ``bp`` is a
-scan plus a local aggregate, and ``materialize=False`` skips the write.
+One exact plan for all inputs:
+
+- ``bp``: distinct (basket, product) with a non-null product (partial aggregate, so repeated
+  lines of a hot basket collapse map-side).
+- Support bound: ``T`` is a lower bound for the n-th best pair count, taken from the exact pair counts
+  of the ``m`` best-supported products: any ``n`` exact counts bound the n-th best from below. A pair's
+  count never exceeds either product's support, so a pair with a product below ``T`` is out of the
+  top n, and every pair of two kept products is counted over all baskets. ``T`` reaches the plan as a
+  scalar subquery.
+- Blocks: a basket of ``size`` products is cut into k = ceil(size / block) blocks by a hash of the
+  product, and its pairs are made per (basket, block of a, block of b). An ordinary basket is one block
+  and its rows are not repeated; a huge one is k x k keys of at most about block² pairs each, spread over
+  tasks, at the price of k copies of its rows.
+
+``bp`` is read by several branches, so it is written once to the checkpoint folder;
+``materialize=False`` skips that where ``items`` is cheap to read again.
 """
 
 from __future__ import annotations
@@ -34,15 +25,21 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
+BLOCK = 500
+
 
 def basket_products(items: DataFrame, basket: str = "cart_id", product: str = "product_id") -> DataFrame:
     return items.where(F.col(product).isNotNull()).select(basket, product).distinct()
 
 
-def pair_counts(bp: DataFrame, basket: str = "cart_id", product: str = "product_id") -> DataFrame:
-    a = bp.select(F.col(basket).alias("_b"), F.col(product).alias("product_a"))
-    b = bp.select(F.col(basket).alias("_b2"), F.col(product).alias("product_b"))
-    pairs = a.join(b, (F.col("_b") == F.col("_b2")) & (F.col("product_a") < F.col("product_b")))
+def pair_counts(bp: DataFrame, basket: str = "cart_id", product: str = "product_id", block: int = BLOCK) -> DataFrame:
+    """(product_a, product_b, abandoned_carts) with product_a < product_b, for distinct (basket, product) rows."""
+    sizes = bp.groupBy(F.col(basket).alias("_basket")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_k"))
+    cut = bp.select(F.col(basket).alias("_basket"), F.col(product).alias("_p")).join(sizes, "_basket")
+    cut = cut.select("_basket", "_p", F.pmod(F.hash("_p"), F.col("_k")).alias("_own"), F.sequence(F.lit(0), F.col("_k") - 1).alias("_all"))
+    a = cut.select("_basket", F.col("_own").alias("_i"), F.explode("_all").alias("_j"), F.col("_p").alias("product_a"))
+    b = cut.select("_basket", F.explode("_all").alias("_i"), F.col("_own").alias("_j"), F.col("_p").alias("product_b"))
+    pairs = a.join(b, ["_basket", "_i", "_j"]).where("product_a < product_b")
     return pairs.groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias("abandoned_carts"))
 
 
@@ -55,36 +52,22 @@ def top_pairs(
     n: int = 50,
     basket: str = "cart_id",
     product: str = "product_id",
-    max_basket: int | None = 1000,
     probe_products: int | None = None,
     materialize: bool = True,
+    block: int = BLOCK,
 ) -> DataFrame:
     bp = basket_products(items, basket, product)
-    if max_basket is None or n <= 0:
-        counts = pair_counts(bp, basket, product)
-        return counts.orderBy(*_rank()).limit(n)
-
     if materialize:
         checkpoint_dir(bp.sparkSession)
         bp = bp.checkpoint(eager=True)
-    sizes = bp.groupBy(basket).agg(F.count(F.lit(1)).alias("_size"))
-    if sizes.where(F.col("_size") > max_basket).limit(1).count() == 0:
-        counts = pair_counts(bp, basket, product)
-        return counts.orderBy(*_rank()).limit(n)
-    sized = bp.join(sizes, basket)
-    light = sized.where(F.col("_size") <= max_basket).select(basket, product)
-    heavy = sized.where(F.col("_size") > max_basket).select(basket, product)
-
     support = bp.groupBy(product).agg(F.count(F.lit(1)).alias("_s"))
     m = probe_products or max(4 * n, 200)
     head = support.orderBy(F.col("_s").desc(), F.col(product).asc_nulls_last()).limit(m).select(product)
-    probe = pair_counts(bp.join(F.broadcast(head), product, "left_semi"), basket, product)
+    probe = pair_counts(bp.join(head, product, "left_semi"), basket, product, block)
     best = probe.orderBy(*_rank()).limit(n)
     bound = best.agg(
         F.when(F.count(F.lit(1)) == n, F.min("abandoned_carts")).otherwise(F.lit(1)).alias("t")
     ).scalar()
     kept = support.where(F.col("_s") >= bound).select(product)
-    heavy_kept = heavy.join(kept, product, "left_semi")
-
-    counts = pair_counts(light.unionByName(heavy_kept), basket, product)
+    counts = pair_counts(bp.join(kept, product, "left_semi"), basket, product, block)
     return counts.orderBy(*_rank()).limit(n)

@@ -2,7 +2,7 @@
 
 One line per cart (10 fields) followed by one line per entry with a product
 (``product|quantity|price|`` with an empty last field). The lines are built as
-two DataFrames and ordered by (cart rank, kind, entry_number, product_id,
+two DataFrames and ordered by (cart price, cart, kind, entry_number, product_id,
 entry_id); writing the sorted frame keeps that order across part files.
 """
 
@@ -19,22 +19,24 @@ from .reports import TOP_CART_COLUMNS, top_cart_set
 
 
 def top_cart_lines(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
+    """(cart_total_price, cart_id, line_kind, entry_number, product_id, entry_id, line): the lines with
+    what they are ordered by."""
     heads, entries = top_cart_set(prepared, items, n)
     htypes = {f.name: f.dataType for f in heads.schema.fields}
     head_lines = heads.select(
-        "cart_rank",
+        "cart_total_price",
+        "cart_id",
         F.lit(0).alias("line_kind"),
         F.lit(None).cast("int").alias("entry_number"),
         F.lit(None).cast("bigint").alias("product_id"),
         F.lit(None).cast("bigint").alias("entry_id"),
         export_line([(F.col(c), htypes[c]) for c in TOP_CART_COLUMNS]).alias("line"),
     )
-    its = entries.where(F.col("product_id").isNotNull()).join(
-        F.broadcast(heads.select("cart_id", "cart_rank")), "cart_id", "inner"
-    )
+    its = entries.where(F.col("product_id").isNotNull()).join(heads.select("cart_id", "cart_total_price"), "cart_id")
     itypes = {f.name: f.dataType for f in its.schema.fields}
     item_lines = its.select(
-        "cart_rank",
+        "cart_total_price",
+        "cart_id",
         F.lit(1).alias("line_kind"),
         "entry_number",
         "product_id",
@@ -48,7 +50,5 @@ def top_cart_lines(prepared: Mapping[str, DataFrame], items: DataFrame, n: int =
 
 
 def ordered_lines(lines: DataFrame) -> DataFrame:
-    return lines.orderBy(
-        "cart_rank", "line_kind", F.col("entry_number").asc_nulls_last(),
-        F.col("product_id").asc_nulls_last(), F.col("entry_id").asc_nulls_last(),
-    )
+    rest = ("cart_id", "line_kind", "entry_number", "product_id", "entry_id")
+    return lines.orderBy(F.col("cart_total_price").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in rest])

@@ -1,114 +1,92 @@
 """Report runner and end-to-end job.
 
-Stage 1 cleans the 8 sources once and writes the prepared tables (and the
-entry-level ``cart_items``) as Parquet to a staging folder on shared storage;
-stage 2 computes every report from those files. Reports therefore never repeat
-the scan + coercion + de-duplication, lineage is cut at the staging boundary,
-and a lost executor only repeats tasks of the current stage.
+Stage 1 cleans the 8 sources once and writes the prepared tables (and the entry-level
+``cart_items``) as plain Parquet to a staging folder on shared storage; stage 2 computes every
+report from those files. Reports never repeat the scan, coercion and de-duplication, lineage is
+cut at the staging boundary, and a lost executor repeats only tasks of the current stage. The staged
+tables are not bucketed: every wide operator then has an exchange whose skewed partitions AQE
+can split, and the number of files follows the data.
+
+Only ``spark.read``, DataFrames and ``spark.conf`` are used, so the job also runs from a Spark Connect
+session. Folders and the input's size are arguments.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.metrics import observe_load, observe_raw
-from ..session import input_bytes, scratch_path, size_shuffle_partitions
+from ..operators.metrics import load_metrics, table_counts
+from ..operators.pairs import basket_products
+from ..session import SCALE_CONF, shuffle_partitions_for
 from ..sinks import write_lines, write_report
 from ..sources.catalog import load_sources, path_join
+from ..specs import SPECS
 from . import reports
 from .export import top_cart_lines
-from .prepare import LazyTables, prepare, prepare_all
-from .views import cart_enriched, cart_items
-
-# Report names (output folder names).
-REPORT_NAMES = (
-    "top_produtos_abandonados",
-    "top_duplas_produtos_abandonados",
-    "produtos_com_aumento_abandono",
-    "produtos_novos_primeiro_mes",
-    "abandonos_por_estado",
-    "relatorio_produtos_mes",
-    "relatorio_diario",
-)
+from .prepare import prepare_all
+from .views import cart_enriched, cart_item_summary, cart_items
+
+# Report names (output folder names), and whether a report is small enough for one file.
+REPORTS = {
+    "top_produtos_abandonados": True,
+    "top_duplas_produtos_abandonados": True,
+    "produtos_com_aumento_abandono": True,
+    "produtos_novos_primeiro_mes": False,
+    "abandonos_por_estado": True,
+    "relatorio_produtos_mes": False,
+    "relatorio_diario": False,
+}
 EXPORT_NAME = "top_50_carrinhos.txt"
+METRICS = ("rows_read", "null_keys", "duplicates", "rejected_values", "rows_kept")
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def _stage(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Staged tables bucketed on the cart key (same bucket count): the per-cart item
-# summary and its join to the carts then need no exchange on either side.
-BUCKETED = {"tb_carts": "pk", "cart_items": "cart_id"}
-
-
-def _stage_bucketed(spark: SparkSession, df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
-    """Write ``df`` as an external bucketed Parquet table at ``path`` (session catalog)."""
-    import uuid
-
-    name = f"cartwise_stage_{uuid.uuid4().hex[:12]}"
-    (
-        df.write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, key)
-        .option("path", path)
-        .saveAsTable(name)
-    )
-    return spark.table(name)
-
+def stage_prepared(prepared: Mapping[str, DataFrame], stage_dir: str) -> dict[str, DataFrame]:
+    """Write each prepared table, then ``cart_items``, once."""
+    out = {name: _stage(df, path_join(stage_dir, name)) for name, df in prepared.items()}
+    out["cart_items"] = _stage(cart_items(out["tb_cartentries"]), path_join(stage_dir, "cart_items"))
+    return out
 
-def stage_prepared(
-    spark: SparkSession, prepared: Mapping[str, DataFrame], stage_dir: str, metrics: dict | None = None
-) -> dict[str, DataFrame]:
-    """Write each prepared table (and ``cart_items``) once; optionally record kept-row counts.
 
-    The counts come from an ``Observation`` on the write itself, not from a
-    second pass over the data.
-    """
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = {}
-    for name, df in prepared.items():
-        if metrics is not None:
-            df, obs = observe_load(df, name)
-            metrics[name] = obs
-        if name in BUCKETED:
-            out[name] = _stage_bucketed(spark, df, path_join(stage_dir, name), BUCKETED[name], buckets)
-        else:
-            out[name] = _stage(spark, df, path_join(stage_dir, name))
-    items = cart_items(out["tb_cartentries"])
-    out["cart_items"] = _stage_bucketed(spark, items, path_join(stage_dir, "cart_items"), "cart_id", buckets)
-    return out
+def register_views(prepared: Mapping[str, DataFrame], items: DataFrame) -> None:
+    """Temporary views for SQL users: ``prepared_<table>``, ``cart_items``, ``cart_item_summary``, ``cart_enriched``."""
+    for name in SPECS:
+        prepared[name].createOrReplaceTempView(f"prepared_{name}")
+    items.createOrReplaceTempView("cart_items")
+    cart_item_summary(items).createOrReplaceTempView("cart_item_summary")
+    cart_enriched(prepared, items).createOrReplaceTempView("cart_enriched")
 
 
 def build_reports(
     prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50, stage_dir: str | None = None
 ) -> dict[str, DataFrame]:
-    """The 7 report frames. With ``stage_dir`` the two shared intermediates — the
-    (product, month) aggregate behind R3/R4/R6 and the per-cart rollup behind
-    R5/R7 — are written once and read by their reports."""
+    """The 7 report frames by name. With ``stage_dir`` the shared intermediates (the (product, month)
+    aggregate of R3/R4/R6, the per-cart rollup of R5/R7 and the distinct basket products of R2) are
+    written once and read by their reports."""
     stats = reports.product_month_stats(items)
     rollup = cart_enriched(prepared, items, need=reports.ROLLUP_NEED)
+    baskets = items
     if stage_dir is not None:
-        spark = items.sparkSession
-        stats = _stage(spark, stats, path_join(stage_dir, "product_month_stats"))
-        rollup = _stage(spark, rollup, path_join(stage_dir, "cart_rollup"))
-    return {
-        "top_produtos_abandonados": reports.top_products(items, n),
-        # staged items are a written (bucketed) table: re-reading them beats a checkpoint copy
-        "top_duplas_produtos_abandonados": reports.top_pairs(items, n, materialize=stage_dir is None),
-        "produtos_com_aumento_abandono": reports.rising_products(stats=stats, n=n),
-        "produtos_novos_primeiro_mes": reports.first_month(stats=stats),
-        "abandonos_por_estado": reports.by_state(rollup),
-        "relatorio_produtos_mes": reports.product_month(stats=stats),
-        "relatorio_diario": reports.daily(rollup),
-    }
-
-
-BOUNDED = {"top_produtos_abandonados", "top_duplas_produtos_abandonados", "produtos_com_aumento_abandono",
-           "abandonos_por_estado"}
+        stats = _stage(stats, path_join(stage_dir, "product_month_stats"))
+        rollup = _stage(rollup, path_join(stage_dir, "cart_rollup"))
+        baskets = _stage(basket_products(items), path_join(stage_dir, "basket_products"))
+    frames = (
+        reports.top_products(items, n),
+        reports.top_pairs(baskets, n, materialize=stage_dir is None),
+        reports.rising_products(stats=stats, n=n),
+        reports.first_month(stats=stats),
+        reports.by_state(rollup),
+        reports.product_month(stats=stats),
+        reports.daily(rollup),
+    )
+    return dict(zip(REPORTS, frames))
 
 
 def run_reports(
@@ -120,7 +98,7 @@ def run_reports(
 ) -> None:
     items = items if items is not None else cart_items(prepared["tb_cartentries"])
     for name, df in build_reports(prepared, items, n, stage_dir).items():
-        write_report(df, path_join(output_dir, f"{name}.csv"), single_file=name in BOUNDED)
+        write_report(df, path_join(output_dir, f"{name}.csv"), single_file=REPORTS[name])
     write_lines(top_cart_lines(prepared, items, n), path_join(output_dir, EXPORT_NAME))
 
 
@@ -129,57 +107,56 @@ def prepare_to(
     data_dir: str | None,
     stage_dir: str,
     raw_tables: Mapping[str, DataFrame] | None = None,
-) -> dict[str, int]:
+    metrics: bool = True,
+) -> dict[str, dict[str, int]]:
     """Load the 8 sources, clean them and write them (plus ``cart_items``) to ``stage_dir``.
 
-    Returns per table: rows_read, null_keys, rejected_values, rows_kept and
-    duplicates, all observed during the staging write (no extra pass).
+    With ``metrics``, returns per table rows_read, null_keys, duplicates, rejected_values and rows_kept as an
+    aggregate over the sources: exact also when executors are lost and tasks run again.
     """
-    if raw_tables is None:
-        from ..specs import SPECS
-
-        size_shuffle_partitions(spark, input_bytes(spark, [path_join(data_dir, s.file) for s in SPECS.values()]))
-    from ..specs import SPECS
-
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
-    raw_obs: dict = {}
-
-    def observed(name: str) -> DataFrame:
-        df, raw_obs[name] = observe_raw(raw[name], SPECS[name])
-        return df
-
-    prepared = LazyTables({name: (lambda n=name: prepare(observed(n), SPECS[n])) for name in raw})
-    kept_obs: dict = {}
-    staged = stage_prepared(spark, prepared, stage_dir, kept_obs)
-    spark.__dict__.setdefault("_cartwise_staged", {})[stage_dir] = staged
-    out = {}
-    for name, obs in kept_obs.items():
-        m = dict(raw_obs[name].get)
-        m["rows_kept"] = obs.get["rows"]
-        m["duplicates"] = m["rows_read"] - m["null_keys"] - m["rows_kept"]
-        out[name] = m
-    return out
+    stage_prepared(prepare_all(raw), stage_dir)
+    if not metrics:
+        return {}
+    return {name: {m: row[m] for m in METRICS} for name in raw for row in load_metrics(raw[name], SPECS[name]).collect()}  # a row each
 
 
 def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
-    from ..specs import SPECS
-
     return {name: spark.read.parquet(path_join(stage_dir, name)) for name in (*SPECS, "cart_items")}
 
 
-def reports_from(
-    spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50, staged: Mapping[str, DataFrame] | None = None
-) -> None:
-    """The 7 reports and the export from tables written by ``prepare_to``.
-
-    Within the session that staged them the tables keep their bucketing; a new
-    session reads the same files as plain Parquet (correct, with shuffles).
-    """
-    staged = dict(staged) if staged is not None else staged_tables(spark, stage_dir)
+def reports_from(spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50, register: bool = False) -> None:
+    """The 7 reports and the export from tables written by ``prepare_to``; named views on request."""
+    staged = staged_tables(spark, stage_dir)
     items = staged.pop("cart_items")
+    if register:
+        register_views(staged, items)
     run_reports(staged, output_dir, top_limit, items=items, stage_dir=stage_dir)
 
 
+def counts_from(spark: SparkSession, stage_dir: str) -> list[tuple[str, int]]:
+    """(table, rows) of the staged tables."""
+    staged = staged_tables(spark, stage_dir)
+    return [(r["table_name"], r["row_count"]) for r in table_counts({k: staged[k] for k in SPECS}).collect()]
+
+
+@contextmanager
+def scale_settings(spark: SparkSession, input_bytes: int | None) -> Iterator[None]:
+    """The job's session settings (``SCALE_CONF``, and shuffle partitions for the input's size), taken
+    back at the end."""
+    wanted = {k: v for k, v in SCALE_CONF.items() if k.startswith("spark.sql.")}  # others are fixed at start
+    if input_bytes:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_job(
     spark: SparkSession,
     data_dir: str | None,
@@ -187,14 +164,18 @@ def run_job(
     top_limit: int = 50,
     stage_dir: str | None = None,
     raw_tables: Mapping[str, DataFrame] | None = None,
-) -> dict[str, int]:
+    input_bytes: int | None = None,
+    register: bool = False,
+) -> dict[str, dict[str, int]]:
     """load -> prepare -> stage -> 7 reports + export. Usable from spark-submit or a notebook.
 
-    Returns the load metrics per table (see ``prepare_to``).
+    ``stage_dir`` defaults to ``_stage`` below ``output_dir``; its files may be deleted after the run (with
+    ``register`` the views read them). Returns the load metrics per table.
     """
-    stage_dir = stage_dir or scratch_path(spark, "stage")
-    kept = prepare_to(spark, data_dir, stage_dir, raw_tables)
-    reports_from(spark, stage_dir, output_dir, top_limit, staged=spark.__dict__["_cartwise_staged"].pop(stage_dir))
+    stage_dir = stage_dir or path_join(output_dir, "_stage")
+    with scale_settings(spark, input_bytes):
+        kept = prepare_to(spark, data_dir, stage_dir, raw_tables)
+        reports_from(spark, stage_dir, output_dir, top_limit, register)
     return kept
 
 
@@ -203,27 +184,35 @@ def main(argv: list[str] | None = None) -> None:
 
     p = argparse.ArgumentParser(description="Abandoned-basket reports on Spark")
     sub = p.add_subparsers(dest="command")
-    for name in ("prepare", "reports", "run"):
+    for name in ("prepare", "reports", "run", "counts"):
         sp = sub.add_parser(name)
         if name in ("prepare", "run"):
             sp.add_argument("--data-dir", required=True)
+            sp.add_argument("--input-gb", type=float, default=None, help="size of the sources, for the number of shuffle partitions")
         if name in ("reports", "run"):
             sp.add_argument("--output-dir", required=True)
             sp.add_argument("--top-limit", type=int, default=50)
         sp.add_argument("--stage-dir", required=name != "run", default=None)
     a = p.parse_args(argv)
     if a.command is None:
-        p.error("choose a command: prepare, reports or run")
+        p.error("choose a command: prepare, reports, run or counts")
     spark = SparkSession.builder.appName("cartwise").getOrCreate()
-    if a.command == "prepare":
+    size = int(a.input_gb * 1e9) if getattr(a, "input_gb", None) else None
+    if a.command == "counts":
+        for table, n in counts_from(spark, a.stage_dir):
+            print(f"{table}: {n}")
+    elif a.command == "prepare":
         cols = ("rows_kept", "rows_read", "null_keys", "duplicates", "rejected_values")
         print("table\t" + "\t".join(cols))
-        for table, m in prepare_to(spark, a.data_dir, a.stage_dir).items():
+        with scale_settings(spark, size):
+            kept = prepare_to(spark, a.data_dir, a.stage_dir)
+        for table, m in kept.items():
             print(table + "\t" + "\t".join(str(m[c]) for c in cols))
     elif a.command == "reports":
-        reports_from(spark, a.stage_dir, a.output_dir, a.top_limit)
+        with scale_settings(spark, None):
+            reports_from(spark, a.stage_dir, a.output_dir, a.top_limit)
     else:
-        run_job(spark, a.data_dir, a.output_dir, a.top_limit, a.stage_dir)
+        run_job(spark, a.data_dir, a.output_dir, a.top_limit, a.stage_dir, input_bytes=size)
 
 
 if __name__ == "__main__":

@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.pairs import top_pairs as _top_pairs
-from ..session import checkpoint_dir
-from .views import cart_enriched, key_in
-
+from .views import cart_enriched
 
 
 def _a(c: str):
@@ -46,8 +44,8 @@ def top_products(items: DataFrame, n: int = 50) -> DataFrame:
 
 
 # R2
-def top_pairs(items: DataFrame, n: int = 50, max_basket: int | None = 1000, materialize: bool = True) -> DataFrame:
-    return _top_pairs(items, n, max_basket=max_basket, materialize=materialize)
+def top_pairs(items: DataFrame, n: int = 50, materialize: bool = True) -> DataFrame:
+    return _top_pairs(items, n, materialize=materialize)
 
 
 # R6 (also the shared input of R3 and R4)
@@ -146,39 +144,17 @@ TOP_CART_COLUMNS = (
 TOP_ITEM_COLUMNS = ("product_id", "quantity", "total_price", "entry_number")
 
 
-# Largest top-n kept as a literal (driver-side) cart set; above it the n carts
-# stay distributed and are written to the checkpoint folder instead.
-LOCAL_TOP_MAX = 10_000
-_FKS = ("pk", "p_user", "p_paymentmode", "p_paymentinfo", "p_site", "p_paymentaddress")
-
-
 def top_cart_set(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(heads, entries) of the n most expensive carts.
-
-    ``heads``: n enriched carts with ``cart_rank`` (1 = most expensive).
-    ``entries``: every entry of those carts.
-    The ranking only needs the cart's own price and key, so it is taken from the
-    prepared carts before any lookup (a distributed top-n). For n up to
-    ``LOCAL_TOP_MAX`` the n rows become a literal frame and their keys filter
-    the lookup tables and entries (``isin``, pushed towards the scans); larger
-    sets are checkpointed and applied with broadcast semi joins.
+    """(heads, entries) of the n most expensive carts: the enriched carts, and all their entries.
+
+    The ranking needs only the cart's own price and key, so it is a distributed top-n of the prepared
+    carts, before any lookup. It stays lazy for every n; what is small enough at run time is
+    broadcast by the planner's own size checks.
     """
-    carts = prepared["tb_carts"]
     price = F.coalesce(F.col("p_totalprice"), F.lit(0).cast("decimal(18,4)"))
-    ordered = carts.orderBy(price.desc_nulls_last(), F.col("pk").asc()).limit(n)
-    if n <= LOCAL_TOP_MAX:
-        rows = ordered.collect()  # at most n rows
-        top = carts.sparkSession.createDataFrame(rows, carts.schema)
-        keys = {fk: sorted({r[fk] for r in rows if r[fk] is not None}) for fk in _FKS}
-        entries = items.where(key_in("cart_id", keys["pk"]))
-        heads = cart_enriched(prepared, entries, need=TOP_CART_COLUMNS, carts=top, lookup_keys=keys)
-    else:
-        top = _bounded(ordered)
-        entries = _bounded(items.join(F.broadcast(top.selectExpr("pk as cart_id")), "cart_id", "left_semi"))
-        heads = _bounded(cart_enriched(prepared, entries, need=TOP_CART_COLUMNS, carts=top, bounded=True))
-    rank = F.row_number().over(Window.orderBy(_d("cart_total_price"), _a("cart_id")))
-    # n rows: one ordered partition is fine.
-    return heads.withColumn("cart_rank", rank), entries
+    top = prepared["tb_carts"].orderBy(price.desc_nulls_last(), F.col("pk").asc()).limit(n)
+    entries = items.join(top.select(F.col("pk").alias("cart_id")), "cart_id", "left_semi")
+    return cart_enriched(prepared, entries, need=TOP_CART_COLUMNS, carts=top), entries
 
 
 def top_cart_heads(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50) -> DataFrame:
@@ -193,9 +169,3 @@ def top_carts(prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50)
         .orderBy(_d("cart_total_price"), _a("cart_id"), _a("entry_number"), _a("product_id"), _a("entry_id"))
         .select(*TOP_CART_COLUMNS, *TOP_ITEM_COLUMNS)
     )
-
-
-def _bounded(df: DataFrame) -> DataFrame:
-    """Materialise a result of bounded size (a top-n) in the reliable checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

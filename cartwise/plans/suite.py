@@ -9,18 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.coerce import to_decimal, to_integer, to_timestamp
+from ..functions.coerce import coerce_frame, to_decimal, to_integer, to_timestamp
+from ..functions.text import export_field
 from ..operators import league_points, load_batches, load_metrics, nearest_ancestor, table_counts, topk_sum_at_least
 from ..session import scratch_path
 from ..sources import driver
+from ..sources.catalog import load_sources
 from ..sources.delimited import read_delimited_checked
 from ..specs import SPECS
 from . import reports
 from .export import top_cart_lines
+from .job import EXPORT_NAME, REPORTS, run_job
 from .prepare import prepare, prepare_all
 from .views import cart_enriched, cart_item_summary, cart_items
 
@@ -50,26 +53,21 @@ def q_dedup_entries(spark, sf_dir):
     return canon(prepare(driver.cartentries(spark, sf_dir), SPECS["tb_cartentries"]))
 
 
+ENTRY_SQL = (
+    "l_orderkey * 8 + l_linenumber as pk", "l_shipdate as createdts", "l_orderkey as p_order",
+    "l_linenumber as p_entrynumber", "l_partkey as p_product", "l_quantity as p_quantity", "l_extendedprice as p_totalprice",
+)
+
+
+def _arrivals(spark, sf_dir) -> list[DataFrame]:
+    """Two arrivals that together hold the whole table: open lines, then the others (raw columns)."""
+    entries = driver.table(spark, sf_dir, "lineitem").selectExpr(*ENTRY_SQL, "coalesce(l_linestatus = 'O', false) as _open")
+    return [entries.where("_open").drop("_open"), entries.where("not _open").drop("_open")]
+
+
 def q_insert_if_absent(spark, sf_dir):
-    li = driver.table(spark, sf_dir, "lineitem")
     spec = SPECS["tb_cartentries"]
-    entries = li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pk"),
-        F.col("l_shipdate").alias("createdts"),
-        F.col("l_orderkey").alias("p_order"),
-        F.col("l_linenumber").alias("p_entrynumber"),
-        F.col("l_partkey").alias("p_product"),
-        F.col("l_quantity").alias("p_quantity"),
-        F.col("l_extendedprice").alias("p_totalprice"),
-        F.col("l_linestatus"),
-    )
-    from ..functions.coerce import coerce_frame
-
-    # Two arrival batches that together hold the whole table: open lines, then finished lines.
-    is_open = F.coalesce(F.col("l_linestatus") == "O", F.lit(False))
-    b1 = coerce_frame(entries.where(is_open), spec)
-    b2 = coerce_frame(entries.where(~is_open), spec)
-    return canon(load_batches([b1, b2], "pk"))
+    return canon(load_batches([coerce_frame(b, spec) for b in _arrivals(spark, sf_dir)], "pk"))
 
 
 def q_table_counts(spark, sf_dir):
@@ -171,9 +169,7 @@ def q_top_carts(spark, sf_dir):
 
 def q_top_carts_lines(spark, sf_dir):
     p = _prepared(spark, sf_dir)
-    return top_cart_lines(p, cart_items(p["tb_cartentries"]), TOP_N).select(
-        F.col("cart_rank").cast("bigint").alias("cart_rank"), "line_kind", "entry_id", "line"
-    )
+    return top_cart_lines(p, cart_items(p["tb_cartentries"]), TOP_N).select("cart_id", "line_kind", "entry_id", "line")
 
 
 def q_league_points(spark, sf_dir):
@@ -201,26 +197,85 @@ def q_delimited_roundtrip(spark, sf_dir):
     )
 
 
+def q_ragged_rows(spark, sf_dir):
+    """Short, long and quoted rows made from every line item: what is kept, and what is reported."""
+    li = driver.table(spark, sf_dir, "lineitem")
+    key = "cast(l_orderkey * 8 + l_linenumber as string)"
+    lines = li.selectExpr(f"""concat_ws('|', {key}, case l_linenumber % 4 when 0 then l_returnflag
+        when 1 then concat('"', l_returnflag, '|""', l_linestatus, '"') else l_linestatus end,
+        case when l_linenumber % 4 <> 2 then cast(l_partkey as string) end, case when l_linenumber % 4 = 3 then 'surplus' end) as line""")
+    path = scratch_path(spark, "ragged")
+    lines.write.text(path)
+    rows, long_rows = read_delimited_checked(spark, path, ["k", "flag", "part"], header=False)
+    kept = rows.groupBy("k", "flag", "part").agg(F.count("*").alias("n")).withColumn("kind", F.lit("row"))
+    surplus = long_rows.groupBy("k", "flag", "part").agg(F.count("*").alias("n")).withColumn("kind", F.lit("long"))
+    return kept.unionByName(surplus)
+
+
+def q_load_rejects(spark, sf_dir):
+    """Load metrics of entries with NULL keys, junk numbers and dates."""
+    li = driver.table(spark, sf_dir, "lineitem")
+    raw = li.selectExpr(
+        "case when l_linenumber = 7 then null when l_linenumber = 6 then 'junk' else cast(l_orderkey * 8 + l_linenumber as string) end as pk",
+        "case when l_returnflag = 'R' then '2024-13-01' else cast(l_shipdate as string) end as createdts",
+        "cast(l_orderkey as string) as p_order", "concat(l_linenumber, '.0') as p_entrynumber",
+        "case when l_linenumber = 2 then concat(l_partkey, '.5') else concat(' ', l_partkey, '\t') end as p_product",
+        "case when l_linestatus = 'O' then 'nan' else cast(l_quantity as string) end as p_quantity",
+        "cast(l_extendedprice as string) as p_totalprice",
+    )
+    return load_metrics(raw, SPECS["tb_cartentries"])
+
+
+def _write_sources(spark, sf_dir, base: str) -> None:
+    """The mapped tables as files in source spelling: pipe text and Parquet."""
+    for name, df in driver.source_tables(spark, sf_dir).items():
+        spec = SPECS[name]
+        df = df.toDF(*spec.columns)
+        if spec.fmt == "csv":
+            df.write.option("header", True).option("sep", "|").csv(f"{base}/{spec.file}")
+        else:
+            df.write.parquet(f"{base}/{spec.file}")
+
+
+def q_source_files(spark, sf_dir):
+    """The sources from files: loaded by the catalogue, cleaned, one line of text per row."""
+    base = scratch_path(spark, "source-files")
+    _write_sources(spark, sf_dir, base)
+    out = None
+    for name, df in prepare_all(load_sources(spark, base)).items():
+        fields = [export_field(F.col(f.name), f.dataType) for f in df.schema.fields]
+        part = df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *fields).alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_report_files(spark, sf_dir):
+    """The whole job on files: every line of the seven reports and of the export with its place in the output."""
+    base = scratch_path(spark, "report-files")
+    _write_sources(spark, sf_dir, f"{base}/data")
+    run_job(spark, f"{base}/data", f"{base}/out", TOP_N, f"{base}/stage")
+    out = None
+    for name in (*(f"{r}.csv" for r in REPORTS), EXPORT_NAME):
+        lines = spark.read.text(f"{base}/out/{name}").select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+        head = Window.partitionBy("file_name").orderBy("at")
+        if name != EXPORT_NAME:  # the header line of each part file
+            lines = lines.withColumn("no", F.row_number().over(head)).where("no > 1").drop("no")
+        place = F.row_number().over(Window.partitionBy(F.lit(name)).orderBy("file_name", "at")).cast("bigint")
+        part = lines.select(F.lit(name).alias("report"), place.alias("position"), F.col("value").alias("line"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_stream_ingest(spark, sf_dir):
-    """The two arrival batches of ``insert_if_absent`` as files picked up by a stream."""
+    """The two arrivals of ``insert_if_absent`` as files of a stream that is stopped and started again."""
     from ..streaming.ingest import start_ingest, stored_table
 
-    li = driver.table(spark, sf_dir, "lineitem")
-    entries = li.selectExpr(
-        "l_orderkey * 8 + l_linenumber as pk", "l_shipdate as createdts", "l_orderkey as p_order",
-        "l_linenumber as p_entrynumber", "l_partkey as p_product", "l_quantity as p_quantity",
-        "l_extendedprice as p_totalprice", "coalesce(l_linestatus = 'O', false) as _open",
-    )
+    spec = SPECS["tb_cartentries"]
     base = scratch_path(spark, "stream-ingest")
-    src = f"{base}/incoming"
-    # arrival order: open lines first, then the rest; one file per arrival
-    entries.where("_open").drop("_open").coalesce(1).write.parquet(f"{src}/0001")
-    entries.where("not _open").drop("_open").coalesce(1).write.parquet(f"{src}/0002")
-    schema = entries.drop("_open").schema
-    q = start_ingest(spark, f"{src}/*", schema, SPECS["tb_cartentries"], f"{base}/target", f"{base}/_checkpoint",
-                     files_per_batch=1)
-    q.awaitTermination()
-    return canon(stored_table(spark, f"{base}/target"))
+    for i, arrival in enumerate(_arrivals(spark, sf_dir)):
+        arrival.repartition(4, "pk").write.parquet(f"{base}/incoming/{i:04d}")
+        start_ingest(spark, f"{base}/incoming/*", arrival.schema, spec, f"{base}/target", f"{base}/_checkpoint").awaitTermination()
+    return canon(stored_table(spark, f"{base}/target", spec))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -245,5 +300,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_sum_at_least": q_topk_sum_at_least,
     "nearest_ancestor": q_nearest_ancestor,
     "delimited_roundtrip": q_delimited_roundtrip,
+    "ragged_rows": q_ragged_rows,
+    "load_rejects": q_load_rejects,
+    "source_files": q_source_files,
+    "report_files": q_report_files,
     "stream_ingest": q_stream_ingest,
 }

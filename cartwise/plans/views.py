@@ -34,37 +34,17 @@ def cart_item_summary(items: DataFrame) -> DataFrame:
     )
 
 
-def key_in(column: str, values) -> F.Column:
-    """``column IN (values)`` as one SQL expression (integral keys), else ``isin``."""
-    values = list(values)
-    if not values:
-        return F.lit(False)
-    if all(isinstance(v, int) and not isinstance(v, bool) for v in values):
-        return F.expr(f"`{column}` IN ({', '.join(str(v) for v in values)})")
-    return F.col(column).isin(values)
-
-
-def _semi(dim: DataFrame, dim_key: str, keys: DataFrame, fk: str) -> DataFrame:
-    """Restrict a dimension to the keys a bounded cart set refers to (broadcast semi join)."""
-    return dim.join(F.broadcast(keys.select(F.col(fk).alias(dim_key)).distinct()), dim_key, "left_semi")
-
-
 def cart_enriched(
     prepared: Mapping[str, DataFrame],
     items: DataFrame | None = None,
     need: Iterable[str] | None = None,
     carts: DataFrame | None = None,
-    bounded: bool = False,
-    lookup_keys: Mapping[str, list] | None = None,
 ) -> DataFrame:
     """One row per cart with its lookups and item summary.
 
-    ``need`` names the output columns wanted; only the left joins that supply
-    them are planned (Catalyst prunes columns but cannot drop a left join on its
-    own, since it does not know the lookup keys are unique). ``carts`` may be a
-    bounded subset of prepared carts (``bounded=True``, e.g. a top-n); then each
-    lookup table and the entries are first cut down to the referenced keys with
-    a broadcast semi join, so no large table is shuffled for a handful of carts.
+    ``need`` names the output columns wanted; only the left joins that supply them are planned. (From
+    sources that were just de-duplicated Catalyst drops unused left joins itself, since it knows their keys to be
+    unique; from staged files it cannot know.) ``carts`` may be a subset of the prepared carts.
     """
     need = set(ENRICHED_COLUMNS if need is None else need) | {"cart_id"}
     c = carts if carts is not None else prepared["tb_carts"]
@@ -78,18 +58,8 @@ def cart_enriched(
     )
     out = base
 
-    def dim(name: str, key: str, fk: str) -> DataFrame:
-        d = prepared[name]
-        if lookup_keys is not None:
-            return d.where(key_in(key, lookup_keys.get(fk, [])))
-        return _semi(d, key, base, fk) if bounded else d
-
     if need & {"item_quantity_sum", "item_count"}:
-        it = items
-        if bounded and lookup_keys is None:
-            it = it.join(F.broadcast(base.select("cart_id")), "cart_id", "left_semi")
-        s = cart_item_summary(it)
-        out = out.join(s, "cart_id", "left")
+        out = out.join(cart_item_summary(items), "cart_id", "left")
     # Lookups join on the cart's foreign-key name (USING join): no key columns to drop.
     lookups = [
         ("user_uid", "tb_users", "pk", "p_user", "p_uid"),
@@ -99,17 +69,15 @@ def cart_enriched(
     ]
     for col_name, table, key, fk, val in lookups:
         if col_name in need:
-            d = dim(table, key, fk).selectExpr(f"{key} as {fk}", f"{val} as {col_name}")
+            d = prepared[table].selectExpr(f"{key} as {fk}", f"{val} as {col_name}")
             out = out.join(d, fk, "left")
     if need & {"postal_code", "state"}:
-        a = dim("tb_addresses", "pk", "p_paymentaddress").selectExpr(
+        a = prepared["tb_addresses"].selectExpr(
             "pk as p_paymentaddress", "nullif(p_postalcode, 'nan') as postal_code", "p_region"
         )
         if "state" in need:
-            r = prepared["tb_regions"]
-            if bounded or lookup_keys is not None:
-                r = _semi(r, "pk", a, "p_region")
-            a = a.join(r.selectExpr("pk as p_region", "p_isocodeshort as state"), "p_region", "left")
+            r = prepared["tb_regions"].selectExpr("pk as p_region", "p_isocodeshort as state")
+            a = a.join(r, "p_region", "left")
         out = out.join(a, "p_paymentaddress", "left")
     exprs = {
         "item_quantity_sum": "coalesce(item_quantity_sum, cast(0 as decimal(28,4))) as item_quantity_sum",

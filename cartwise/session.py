@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,9 +42,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, registering it with the context.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; it is read
-    from the session. Only a local-mode session without the setting gets a
-    private scratch folder (tests).
+    ``spark.checkpoint.dir`` must name a shared folder; it is read from the session. Only where it is unset
+    in a one-process session (``local`` or ``local[n]``, not ``local-cluster``) a private scratch folder
+    stands in for it (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="cartwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
@@ -66,25 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` (metadata listing only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            total += fs.getContentSummary(path).getLength()
-    return total
+def shuffle_partitions_for(nbytes: int, least: int = 1, target_bytes: int = 256 << 20, most: int | None = None) -> int:
+    """Shuffle partitions for ``nbytes`` of input at about ``target_bytes`` each, ``least`` at least.
 
-
-def size_shuffle_partitions(spark: SparkSession, nbytes: int, target_bytes: int = 256 << 20, cap: int = 100_000) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so one shuffle partition holds about
-    ``target_bytes`` of input (never lowered; AQE coalesces small ones at run time).
-    100 TB of input at 256 MB gives ~400k; the cap keeps task bookkeeping sane and
-    AQE's skew split handles the rest."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(cap, max(current, -(-nbytes // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    100 TB at 256 MB gives about 400,000. ``most`` bounds the number where the scheduler asks for it; partitions get
+    larger then, and AQE still splits skewed ones. AQE coalesces small ones at run time.
+    """
+    wanted = max(least, -(-nbytes // target_bytes))
+    return min(wanted, most) if most else wanted

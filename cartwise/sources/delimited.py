@@ -12,16 +12,19 @@ fills it has more fields than the header and is reported by
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.coerce import q
+
 EXTRA = "_extra"
 
 
-def _reader(spark: SparkSession, columns: Sequence[str], sep: str, quote: str, header: bool):
+def _reader(spark: SparkSession, columns: Sequence[str], sep: str, quote: str, header: bool, multi_line: bool):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] + [T.StructField(EXTRA, T.StringType())])
     return (
         spark.read.schema(schema)
@@ -31,6 +34,7 @@ def _reader(spark: SparkSession, columns: Sequence[str], sep: str, quote: str, h
         .option("escape", quote)
         .option("mode", "PERMISSIVE")
         .option("nullValue", "")
+        .option("multiLine", multi_line)
     )
 
 
@@ -49,21 +53,43 @@ def read_delimited_checked(
     quote: str = '"',
     header: bool = True,
     null_tokens: Sequence[str] = ("",),
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Return ``(rows, long_rows)``: declared columns, and the rows that had surplus fields."""
-    names = list(columns)
-    if header:
-        # the header line only (Spark reads the first line to name the columns)
-        names = (
-            spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
-            .csv(path).columns
-        )
-    raw = _reader(spark, names, sep, quote, header).csv(path)
-    raw = _null_tokens(raw, names, null_tokens)
-    rows = raw.select(*columns)
-    long_rows = raw.where(F.col(EXTRA).isNotNull())
+    """Return ``(rows, long_rows)``: declared columns, and the rows that had surplus fields.
+
+    With ``header`` every file's own header line names its columns, so files of one folder may order or extend
+    them differently; files are read together by header. ``multi_line`` allows line breaks inside quotes; files are
+    then not split.
+    """
+    parts = []
+    for names, paths in _by_header(spark, path, sep, quote) if header else [(list(columns), [path])]:
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"columns {missing} are missing from the header {names} of {paths[0]}")
+        raw = _reader(spark, names, sep, quote, header, multi_line).csv(paths)
+        raw = _null_tokens(raw, names, null_tokens)
+        extra = F.concat_ws(sep, *[F.coalesce(F.col(q(c)), F.lit("")) for c in (*[n for n in names if n not in columns], EXTRA)])
+        parts.append((raw.select(*[q(c) for c in columns]), raw.where(F.col(EXTRA).isNotNull()).select(*[q(c) for c in columns], extra.alias(EXTRA))))
+    rows, long_rows = parts[0]
+    for more_rows, more_long in parts[1:]:
+        rows, long_rows = rows.unionByName(more_rows), long_rows.unionByName(more_long)
     return rows, long_rows
 
 
+def _by_header(spark: SparkSession, path: str, sep: str, quote: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each distinct header line below ``path``.
+
+    The header is the first line of a file's first split. Only names of files and header lines reach the driver.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
+    heads = lines.groupBy("file_path").agg(F.first("value").alias("head"))
+    files: dict[str, list[str]] = {}
+    for r in heads.orderBy("file_path").collect():
+        files.setdefault(r["head"].rstrip("\r").removeprefix("\ufeff"), []).append(r["file_path"])
+    if not files:
+        raise ValueError(f"no header below {path}")
+    return [(next(csv.reader([head], delimiter=sep, quotechar=quote)), paths) for head, paths in files.items()]
+
+
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], **kw) -> DataFrame:
     return read_delimited_checked(spark, path, columns, **kw)[0]

@@ -1,7 +1,7 @@
 """The driver's TPC-H-style tables presented as the 8 basket source tables.
 
 This is the fixture mapping used by the correctness harness on both sides (Spark
-here, DuckDB in ``cartwise.plans.oracle``). Lineitems become cart entries,
+here, DuckDB in ``cartwise.oracle``). Lineitems become cart entries,
 orders become carts, customers become users and addresses, suppliers payment
 infos, regions sites, nations states. (order, line) repeats in the data, so the
 entry key really needs de-duplication.

@@ -30,12 +30,8 @@ class TableSpec:
         return self.types.get(column, STR)
 
 
-# Source column spellings that are renamed on load.
-COLUMN_RENAMES = {"PK": "pk", "ITEMPK": "itempk", "createdTS": "createdts"}
-
-
 def normalize_name(column: str) -> str:
-    return COLUMN_RENAMES.get(column, column).lower()
+    return column.lower()
 
 
 # The 8 source tables, their files, columns, keys and column types.
@@ -73,6 +69,3 @@ SPECS: dict[str, TableSpec] = {
     )
 }
 
-
-def table_key(table: str) -> str:
-    return SPECS[table].key

@@ -14,6 +14,7 @@ lives in its checkpoint location on shared storage.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,12 +27,10 @@ from ..specs import TableSpec
 BATCH = "_batch"
 
 
-def _existing_keys(spark: SparkSession, target: str, key: str, batch_id: int) -> DataFrame | None:
-    try:
-        stored = spark.read.parquet(target)
-    except Exception:  # nothing stored yet
-        return None
-    return stored.where(F.col(BATCH) < batch_id).select(key)
+def target_schema(spec: TableSpec) -> T.StructType:
+    """The declared schema of a target table (with its batch id)."""
+    fields = [T.StructField(n, T.DataType.fromDDL(spec.target_type(n))) for n in spec.normalized]
+    return T.StructType([*fields, T.StructField(BATCH, T.LongType())])
 
 
 def first_batch_wins_sink(spec: TableSpec, target: str):
@@ -39,11 +38,10 @@ def first_batch_wins_sink(spec: TableSpec, target: str):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedup_by_key(coerce_frame(batch, spec), spec.key)
-        existing = _existing_keys(spark, target, spec.key, batch_id)
-        if existing is not None:
-            known = existing.join(fresh.select(spec.key), spec.key, "left_semi")
-            fresh = fresh.join(known, spec.key, "left_anti")
+        # the folder exists from here on, so that whatever then goes wrong with reading it fails the batch
+        spark.createDataFrame([], target_schema(spec)).write.mode("ignore").partitionBy(BATCH).parquet(target)
+        known = spark.read.schema(target_schema(spec)).parquet(target).where(F.col(BATCH) < batch_id).select(spec.key)
+        fresh = dedup_by_key(coerce_frame(batch, spec), spec.key).join(known, spec.key, "left_anti")
         (
             fresh.withColumn(BATCH, F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -85,5 +83,11 @@ def start_ingest(
     return writer.start()
 
 
-def stored_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target).drop(BATCH)
+def stored_table(spark: SparkSession, target: str, spec: TableSpec) -> DataFrame:
+    """The rows stored so far (none before the first batch)."""
+    try:
+        return spark.read.schema(target_schema(spec)).parquet(target).drop(BATCH)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], target_schema(spec)).drop(BATCH)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.functions.coerce import coerce_frame, to_decimal, to_integer, to_timestamp
-from cartwise.specs import SPECS, normalize_name, table_key
+from cartwise.specs import SPECS, normalize_name
 
 
 def test_integer_text(spark):
@@ -22,28 +22,37 @@ def test_nan_foreign_key_is_null_never_zero(spark):
     assert out == [None, 8796093054980, None, None]
 
 
+def test_integer_edges(spark):
+    df = spark.createDataFrame([(9.223372036854775808e18,), (-9.223372036854775808e18,), (9.2233720368547748e18,)], "d double")
+    out = [r[0] for r in df.select(to_integer("d", T.DoubleType())).collect()]
+    assert out == [None, -(2**63), 9223372036854774784]
+    df = spark.createDataFrame([(" 7\t",), ("\r\n8.0\u000b",), ("7 7",), ("",)], "s string")
+    assert [r[0] for r in df.select(to_integer("s", T.StringType())).collect()] == [7, 8, None, None]
+    df = spark.createDataFrame([("2147483647",), ("2147483648",)], "s string")
+    assert [r[0] for r in df.select(to_integer("s", T.StringType(), "int")).collect()] == [2147483647, None]
+
+
 def test_decimal_and_timestamp(spark):
-    df = spark.createDataFrame([("50.25", "2024-01-10 10:00:00"), ("nan", "xx"), (None, None)], "p string, t string")
+    df = spark.createDataFrame([("3.75", "2021-06-30 23:15:09"), ("nan", "soon"), (None, None)], "p string, t string")
     out = df.select(to_decimal("p", T.StringType()), to_timestamp("t", T.StringType())).collect()
-    assert out[0][0] == Decimal("50.2500") and out[0][1] == datetime.datetime(2024, 1, 10, 10, 0)
-    assert out[1][0] is None and out[1][1] is None
-    assert out[2][0] is None and out[2][1] is None
+    assert tuple(out[0]) == (Decimal("3.7500"), datetime.datetime(2021, 6, 30, 23, 15, 9))
+    assert tuple(out[1]) == tuple(out[2]) == (None, None)
 
 
-def test_normalize_and_coerce_frame(spark):
-    # columns as in the source spelling, renamed on load
-    assert [normalize_name(c) for c in ("PK", "createdTS", "p_paymentaddress", "p_totalprice")] == [
-        "pk", "createdts", "p_paymentaddress", "p_totalprice"]
+def test_coerced_cart_rows(spark):
+    """Source spelling is lower-cased, every declared column gets its type, junk becomes NULL."""
     spec = SPECS["tb_carts"]
-    row = ("1", "2024-01-10 10:00:00", "50.25", "10.0", None, None, None, None)
-    raw = spark.createDataFrame([row, ("2", None, "nan", None, None, None, None, None)],
-                                ", ".join(f"{c} string" for c in spec.normalized))
-    out = coerce_frame(raw, spec).orderBy("pk").collect()
-    assert out[0]["pk"] == 1 and out[0]["p_paymentaddress"] == 10 and out[0]["p_totalprice"] == Decimal("50.2500")
-    assert out[1]["createdts"] is None and out[1]["p_paymentaddress"] is None and out[1]["p_totalprice"] is None
-    assert dict(coerce_frame(raw, spec).dtypes)["createdts"] == "timestamp_ntz"
-
-
-def test_table_keys():
-    assert table_key("tb_cmssitelp") == "itempk"
-    assert table_key("tb_carts") == "pk"
+    assert [normalize_name(c) for c in spec.columns] == list(spec.normalized) and spec.normalized[:2] == ("pk", "createdts")
+    blank = dict.fromkeys(spec.normalized)
+    given = [blank | {"pk": "41", "createdts": "2023-02-28 07:00:00", "p_totalprice": "9.5", "p_user": "12.0"},
+             blank | {"pk": "42", "createdts": "2023-02-30", "p_totalprice": "nan", "p_user": "12.5"}]
+    raw = spark.createDataFrame([tuple(r.values()) for r in given], ", ".join(f"{c} string" for c in spec.normalized))
+    coerced = coerce_frame(raw, spec)
+    good, bad = coerced.orderBy("pk").collect()
+    assert (good["pk"], good["p_user"], good["p_totalprice"]) == (41, 12, Decimal("9.5000"))
+    assert (bad["pk"], bad["createdts"], bad["p_user"], bad["p_totalprice"]) == (42, None, None, None)
+    assert dict(coerced.dtypes)["createdts"] == "timestamp_ntz"
+
+
+def test_declared_keys():
+    assert {n: s.key for n, s in SPECS.items() if s.key != "pk"} == {"tb_cmssitelp": "itempk"}

@@ -1,6 +1,9 @@
 import random
 
-from cartwise.operators import dedup_by_key, dedup_by_key_window, insert_if_absent, load_batches
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cartwise.operators import dedup_by_key, insert_if_absent, load_batches
 from cartwise.plans.prepare import prepare
 from cartwise.specs import SPECS
 
@@ -23,7 +26,8 @@ def test_agg_equals_window(spark):
     rows = [(rng.randint(0, 30), rng.choice(["x", "y", None]), rng.randint(0, 5)) for _ in range(400)]
     df = spark.createDataFrame(rows, "k long, a string, b int")
     a = sorted(tuple(r) for r in dedup_by_key(df, "k").collect())
-    b = sorted(tuple(r) for r in dedup_by_key_window(df, "k").collect())
+    w = Window.partitionBy("k").orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last())
+    b = sorted(tuple(r) for r in df.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n").collect())
     assert a == b
 
 
@@ -43,9 +47,12 @@ def test_insert_if_absent(spark):
     assert out == [(1, "a"), (2, "c")]
 
 
-def test_load_many_batches_with_checkpoints(spark):
+def test_load_many_batches_in_one_exchange(spark):
     batches = [spark.createDataFrame([(i % 5, f"v{i}")], "k long, v string") for i in range(12)]
-    out = sorted(tuple(r) for r in load_batches(batches, "k", checkpoint_every=3).collect())
+    loaded = load_batches(batches, "k")
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    out = sorted(tuple(r) for r in loaded.collect())
     assert out == [(0, "v0"), (1, "v1"), (2, "v2"), (3, "v3"), (4, "v4")]
 
 

@@ -1,7 +1,7 @@
 import glob
 import os
 
-from cartwise.plans.job import EXPORT_NAME, REPORT_NAMES, run_job
+from cartwise.plans.job import EXPORT_NAME, REPORTS, run_job
 from cartwise.sources import driver
 from conftest import SF_SMALL
 
@@ -14,14 +14,14 @@ def test_run_job_end_to_end(spark, tmp_path):
     pm = kept["tb_paymentmodes"]
     assert pm["rows_read"] == pm["rows_kept"] + pm["duplicates"] + pm["null_keys"] and pm["duplicates"] > 0
     assert kept["tb_cartentries"]["rejected_values"] == 0
-    # the observed metrics equal the aggregate form of the registered load_metrics query
+    # the metrics equal the registered load_metrics query
     from cartwise.plans.suite import q_load_metrics
 
     for r in q_load_metrics(spark, SF_SMALL).collect():
         m = kept[r["table_name"]]
         assert (m["rows_read"], m["null_keys"], m["duplicates"], m["rejected_values"], m["rows_kept"]) == (
             r["rows_read"], r["null_keys"], r["duplicates"], r["rejected_values"], r["rows_kept"]), r["table_name"]
-    for name in REPORT_NAMES:
+    for name in REPORTS:
         parts = glob.glob(os.path.join(out, f"{name}.csv", "part-*"))
         assert parts, name
         with open(sorted(parts)[0]) as f:
@@ -63,8 +63,10 @@ def test_cli_prepare_then_reports(spark, tmp_path, capsys):
     counts = {r[0]: r[1] for r in rows[1:]}
     assert rows[0][:2] == ["table", "rows_kept"]
     assert counts["tb_carts"] == "4" and counts["tb_regions"] == "1"
+    main(["counts", "--stage-dir", stage])
+    assert "tb_carts: 4" in capsys.readouterr().out.splitlines()
     main(["reports", "--stage-dir", stage, "--output-dir", out, "--top-limit", "2"])
-    for name in REPORT_NAMES:
+    for name in REPORTS:
         assert glob.glob(os.path.join(out, f"{name}.csv", "part-*")), name
 
 
@@ -95,3 +97,27 @@ def test_run_job_from_source_files(spark, tmp_path):
             lines += f.read().splitlines()
     assert lines[0] == '10|2024-01-05 10:00:00|100.0000|"u|1"|1-URGENT|3|site one|01000|7.0000|4'
     assert len(lines) == 8
+
+
+def test_named_views_and_no_table_left(spark, tmp_path):
+    run_job(spark, None, str(tmp_path / "out"), 5, raw_tables=driver.source_tables(spark, SF_SMALL), register=True)
+    assert spark.sql("select count(*) from cart_enriched").first()[0] == spark.table("prepared_tb_carts").count()
+    assert spark.sql("select sum(item_count) from cart_item_summary").first()[0] == spark.table("cart_items").count()
+    assert [t.name for t in spark.catalog.listTables() if not t.isTemporary] == []
+    for name in ("cart_items", "cart_item_summary", "cart_enriched", *(f"prepared_{t}" for t in driver.source_tables(spark, SF_SMALL))):
+        spark.catalog.dropTempView(name)
+
+
+def test_staged_pairs_keep_a_splittable_exchange(spark, tmp_path):
+    from cartwise.operators.pairs import pair_counts
+    from cartwise.plans.job import prepare_to, staged_tables
+
+    stage = str(tmp_path / "stage")
+    assert prepare_to(spark, None, stage, driver.source_tables(spark, SF_SMALL), metrics=False) == {}
+    items = staged_tables(spark, stage)["cart_items"].select("cart_id", "product_id").distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = pair_counts(items)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [_basket" in plan and "Exchange hashpartitioning(_basket" in plan and "Bucketed: true" not in plan

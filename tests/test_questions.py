@@ -1,9 +1,9 @@
 import random
+import re
 
 import pytest
 
 from cartwise.operators import HierarchyTooDeep, league_points, nearest_ancestor, top_pairs, topk_sum_at_least
-from cartwise.operators.hierarchy import nearest_ancestor_recursive_sql
 
 
 def test_league_points(spark):
@@ -32,7 +32,7 @@ def test_nearest_ancestor_cycle_raises(spark):
         nearest_ancestor(df, max_depth=16).collect()
 
 
-def test_nearest_ancestor_matches_closure(spark):
+def test_nearest_ancestor_matches_walk_up(spark):
     rng = random.Random(3)
     rows = [(1, None, 5000.0)]
     for i in range(2, 300):
@@ -40,8 +40,17 @@ def test_nearest_ancestor_matches_closure(spark):
                      if rng.random() > 0.05 else None))
     rows.append((300, 999, 5.0))  # parent missing from the table
     df = spark.createDataFrame(rows, "id long, lider_id long, salario double")
-    df.createOrReplaceTempView("emp_t")
-    want = [tuple(r) for r in spark.sql(nearest_ancestor_recursive_sql("emp_t")).collect()]
+    above, pay = {i: p for i, p, _ in rows}, {i: v for i, _, v in rows}
+
+    def first_paid_enough(i):
+        boss = above[i]
+        while boss in above:
+            if pay[i] is not None and pay[boss] is not None and pay[boss] >= 2 * pay[i]:
+                return boss
+            boss = above[boss]
+        return None
+
+    want = [(i, first_paid_enough(i)) for i in sorted(above)]
     got = [tuple(r) for r in nearest_ancestor(df).collect()]
     assert got == want
 
@@ -65,6 +74,41 @@ def test_pairs_heavy_baskets_exact(spark):
     rows = [(cid, p) for cid, ps in baskets.items() for p in ps]
     items = spark.createDataFrame(rows, "cart_id long, product_id long")
     want = _brute_pairs(baskets, 25)
-    for mb, mat in ((None, True), (8, True), (8, False), (1000, True)):
-        got = [tuple(r) for r in top_pairs(items, 25, max_basket=mb, materialize=mat).collect()]
-        assert got == want, (mb, mat)
+    for block, mat in ((500, True), (8, True), (8, False), (1, False)):
+        got = [tuple(r) for r in top_pairs(items, 25, materialize=mat, block=block).collect()]
+        assert got == want, (block, mat)
+
+
+def test_pairs_of_a_huge_basket_are_spread(spark):
+    """One basket of 5,000 products: block keys, many of them, each with a bounded number of pairs."""
+    from pyspark.sql import functions as F
+
+    from cartwise.operators.pairs import pair_counts
+
+    big = spark.range(5000).select(F.lit(1).cast("long").alias("cart_id"), F.col("id").alias("product_id"))
+    more = spark.createDataFrame([(2, 7), (2, 9), (3, 7), (3, 9), (4, 9), (4, 7)], "cart_id long, product_id long")
+    items = big.unionByName(more)
+    got = [tuple(r) for r in top_pairs(items, 3, materialize=False).collect()]
+    assert got == [(7, 9, 4), (0, 1, 1), (0, 2, 1)]
+    counts = pair_counts(items, block=500)
+    assert counts.agg(F.sum("abandoned_carts")).first()[0] == 5000 * 4999 // 2 + 3
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, .*_basket#\d+L? = _basket#\d+L?.*_i#\d+ = _i#\d+.*_j#\d+ = _j#\d+", plan)
+
+
+def test_top_carts_one_plan_for_every_n(spark):
+    from cartwise.plans import reports
+    from cartwise.plans.prepare import prepare_all
+    from cartwise.plans.views import cart_items
+    from cartwise.sources import driver
+    from conftest import SF_SMALL
+
+    p = prepare_all(driver.source_tables(spark, SF_SMALL))
+    items = cart_items(p["tb_cartentries"])
+    shapes, rows = set(), {}
+    for n in (5, 50, 20_000):
+        df = reports.top_carts(p, items, n)
+        shapes.add(re.sub(r"#\d+L?|plan_id=\d+|\b\d+\b", "", df._jdf.queryExecution().optimizedPlan().toString()))
+        rows[n] = [tuple(r) for r in df.collect()]
+    assert len(shapes) == 1
+    assert rows[50][:len(rows[5])] == rows[5] and rows[20_000][:len(rows[50])] == rows[50]

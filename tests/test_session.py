@@ -1,4 +1,5 @@
-from cartwise.session import checkpoint_dir, input_bytes, scratch_path, size_shuffle_partitions
+from cartwise.plans.job import scale_settings
+from cartwise.session import checkpoint_dir, scratch_path, shuffle_partitions_for
 
 
 def test_checkpoint_dir_and_scratch(spark):
@@ -7,14 +8,15 @@ def test_checkpoint_dir_and_scratch(spark):
     assert scratch_path(spark, "x").startswith(d.rstrip("/"))
 
 
-def test_size_shuffle_partitions(spark, tmp_path):
-    f = tmp_path / "blob.bin"
-    f.write_bytes(b"0" * 4096)
-    n = input_bytes(spark, [str(f), str(tmp_path / "missing")])
-    assert n == 4096
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert size_shuffle_partitions(spark, n, target_bytes=1024) == max(before, 4)
-        assert size_shuffle_partitions(spark, 10 ** 15, target_bytes=1, cap=50) == max(before, 50)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+def test_shuffle_partitions_for():
+    assert shuffle_partitions_for(4096, 2, target_bytes=1024) == 4
+    assert shuffle_partitions_for(100, 200) == 200
+    assert shuffle_partitions_for(100 * 10**12) > 350_000
+    assert shuffle_partitions_for(10**15, 8, most=50_000) == 50_000
+
+
+def test_scale_settings_are_taken_back(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    with scale_settings(spark, 10 * (256 << 20)):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "10"
+    assert {k: spark.conf.get(k) for k in before} == before

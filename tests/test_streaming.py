@@ -15,7 +15,7 @@ def test_first_batch_wins_and_replay_is_idempotent(spark, tmp_path):
     sink(b0, 0)
     sink(b1, 1)
     sink(b1, 1)  # replay after a failure
-    assert _rows(stored_table(spark, target)) == [(1, "a"), (2, "c")]
+    assert _rows(stored_table(spark, target, spec)) == [(1, "a"), (2, "c")]
 
 
 def test_stream_over_arriving_files(spark, tmp_path):
@@ -27,7 +27,7 @@ def test_stream_over_arriving_files(spark, tmp_path):
     q = start_ingest(spark, f"{src}/*", spark.createDataFrame([], schema).schema, spec, str(tmp_path / "t"),
                      str(tmp_path / "ck"), files_per_batch=1)
     q.awaitTermination()
-    assert _rows(stored_table(spark, str(tmp_path / "t"))) == [(1, "a"), (2, "c")]
+    assert _rows(stored_table(spark, str(tmp_path / "t"), spec)) == [(1, "a"), (2, "c")]
 
 
 def test_stream_over_csv_files(spark, tmp_path):
@@ -40,4 +40,26 @@ def test_stream_over_csv_files(spark, tmp_path):
     schema = T.StructType([T.StructField("pk", T.StringType()), T.StructField("p_uid", T.StringType())])
     q = start_ingest(spark, str(src), schema, spec, str(tmp_path / "t"), str(tmp_path / "ck"), fmt="csv")
     q.awaitTermination()
-    assert _rows(stored_table(spark, str(tmp_path / "t"))) == [(1, "a")]
+    assert _rows(stored_table(spark, str(tmp_path / "t"), spec)) == [(1, "a")]
+
+
+def test_unreadable_target_fails_the_batch(spark, tmp_path):
+    import pytest
+
+    spec = SPECS["tb_users"]
+    target = tmp_path / "users"
+    sink = first_batch_wins_sink(spec, str(target))
+    assert _rows(stored_table(spark, str(target), spec)) == []
+    sink(spark.createDataFrame([("1", "first")], "pk string, p_uid string").coalesce(1), 0)
+    part = next(target.glob("_batch=0/part-*"))
+    whole = part.read_bytes()
+    for crc in target.glob("_batch=0/.*.crc"):
+        crc.unlink()
+    part.write_bytes(whole[:-8] + b"\0" * 8)  # the footer is gone
+    later = spark.createDataFrame([("1", "second"), ("2", "b")], "pk string, p_uid string")
+    with pytest.raises(Exception):
+        sink(later, 1)
+    part.write_bytes(whole)
+    assert _rows(stored_table(spark, str(target), spec)) == [(1, "first")]
+    sink(later, 1)
+    assert _rows(stored_table(spark, str(target), spec)) == [(1, "first"), (2, "b")]

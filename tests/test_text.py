@@ -30,3 +30,15 @@ def test_export_line_matches_python_minimal_quoting(spark):
     df = spark.createDataFrame(rows, schema)
     got = [r[0] for r in df.select(export_line([(F.col(f.name), f.dataType) for f in schema.fields])).collect()]
     assert got == [_python_line(r) for r in rows]
+
+
+def test_times_that_a_zone_skips_print_as_they_are(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    schema = T.StructType([T.StructField("t", T.TimestampNTZType())])
+    df = spark.createDataFrame([(dt.datetime(2018, 11, 4, 0, 30),), (dt.datetime(2018, 11, 4, 0, 30, 0, 1200),)], schema)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        got = [r[0] for r in df.select(export_line([(F.col("t"), T.TimestampNTZType())])).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ["2018-11-04 00:30:00", "2018-11-04 00:30:00.001200"]
