@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwise.llm.common import ship
+
 MAX_WORDS = 400_000
 SLICE_BYTES = 4 << 20
 # Fixed value: the byte-level pre-tokenizer's pattern.
@@ -284,6 +286,7 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 def encode(docs: DataFrame, model: Bpe, *, text: str = "text", ids: str = "ids", use_special: bool = True) -> DataFrame:
     """``docs`` without its text, with the token ids (array of int) of the whole text in ``ids``."""
+    ship(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (text, ids)]
     given = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -303,6 +306,7 @@ def encode(docs: DataFrame, model: Bpe, *, text: str = "text", ids: str = "ids",
 
 def decode(coded: DataFrame, model: Bpe, *, ids: str = "ids", text: str = "text") -> DataFrame:
     """``coded`` with the text that its ids stand for in ``text`` (special tokens kept)."""
+    ship(coded.sparkSession)
     keep = [c for c in coded.columns if c != text]
     shared = coded.sparkSession.sparkContext.broadcast(model)
     given = coded.select(*keep)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +43,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def column(name: str) -> Column:
+    """A column by its exact name (which may hold dots)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns but ``without`` as one struct, ``_row``, so that no name of theirs can clash with a working
+    column. ``unpacked`` gives them back."""
+    names = [c for c in docs.columns if c not in without]
+    return F.struct(*[column(c).alias(c) for c in names]).alias("_row")
+
+
+def unpacked(df: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """The fields of ``_row`` as columns."""
+    names = [c for c in df.schema["_row"].dataType.names if c not in without]
+    return [F.col("_row").getField(c).alias(c) for c in names]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lineage ends there, and
     every executor sees the files. The folder belongs to the checkpoint area and goes with it."""
@@ -49,6 +70,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once per Spark context, so that functions run there
+    that are not installed there. Spark's own file server distributes the archive."""
+    sc = spark.sparkContext
+    root = Path(__file__).resolve().parent.parent
+    if getattr(sc, "_cartwise_shipped", False) or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="cartwise-")) / "cartwise.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._cartwise_shipped = True
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; otherwise unchanged, so that
     the join shuffles. Counts the (small or already stored) table once."""

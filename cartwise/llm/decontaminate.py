@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import plain_words, small, stored
+from cartwise.llm.common import column, packed, plain_words, small, stored, unpacked
 
 MAX_BROADCAST_WINDOWS = 200_000
 
@@ -42,13 +42,13 @@ class Tests:
 
 
 def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows with ``rid``, numbered along the scan: each read of the same files gives the same numbers."""
-    return docs.withColumn("rid", F.monotonically_increasing_id()).withColumn("_words", plain_words(F.col(text)))
+    """(_row, rid, _words): rows numbered along the scan; each read of the same files gives the same numbers."""
+    return docs.select(packed(docs), F.monotonically_increasing_id().alias("rid"), plain_words(column(text)).alias("_words"))
 
 
 def cut_tests(benchmark: DataFrame, rows: DataFrame, size: int, *, item_id: str = "item_id", text: str = "text") -> Tests:
     """The windows of ``benchmark`` with their two rarest terms over ``rows`` (of ``numbered``)."""
-    w = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), plain_words(F.col(text)).alias("w"))
+    w = benchmark.select(F.coalesce(column(item_id).cast("string"), F.lit("")).alias("item"), plain_words(column(text)).alias("w"))
     n = F.size("w")
     starts = F.when(n > 0, F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))))
     items = w.select("item", "w", F.explode(starts).alias("s")).select("item", F.slice("w", F.col("s"), size).alias("window")).distinct()
@@ -118,16 +118,15 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10, *, text: str =
     """``docs`` without its text, with n_words, n_hit, n_items, items_sha256 and contaminated."""
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     rows, found, tests = matches(docs, benchmark, size, text=text, item_id=item_id)
-    keep = [c for c in docs.columns if c not in (text, *names)]
     covered = F.transform(F.collect_set(F.struct("start", F.size("window").alias("n"))), lambda x: F.sequence(x["start"], x["start"] + x["n"] - 1))
     hits = found.groupBy(F.col("rid").alias("_h")).agg(F.size(F.array_distinct(F.flatten(covered))).cast("long").alias("n_hit"))
     owners = small(tests.items, MAX_BROADCAST_WINDOWS)
     items = (found.select("rid", "window").distinct().join(owners, "window").groupBy(F.col("rid").alias("_i"))
              .agg(F.array_sort(F.collect_set("item")).alias("_items")))
-    out = rows.select(*keep, "rid", F.size("_words").cast("long").alias("n_words"))
+    out = rows.select("_row", "rid", F.size("_words").cast("long").alias("n_words"))
     out = out.join(hits, F.col("rid") == F.col("_h"), "left").join(items, F.col("rid") == F.col("_i"), "left")
     zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
-    return out.select(*keep, "n_words", F.coalesce("n_hit", zero).alias("n_hit"),
+    return out.select(*unpacked(rows, (text, *names)), "n_words", F.coalesce("n_hit", zero).alias("n_hit"),
                       F.size(F.coalesce("_items", none)).cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", F.coalesce("_items", none)).cast("binary"), 256).alias("items_sha256"),
                       (F.coalesce("n_hit", zero) > 0).alias("contaminated"))
@@ -137,4 +136,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10, *, text: str =
     """The rows of ``docs`` that hold no test window, unchanged."""
     rows, found, _ = matches(docs, benchmark, size, text=text, item_id=item_id)
     bad = small(stored(found.select("rid").distinct(), "decon-bad"), 1_000_000)  # 8 MB, else shuffled
-    return rows.drop("_words").join(bad, "rid", "left_anti").select(*docs.columns)
+    return rows.drop("_words").join(bad, "rid", "left_anti").select(*unpacked(rows))

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import ascii_lower, small, space_words, stored
+from cartwise.llm.common import ascii_lower, column, packed, small, space_words, stored, unpacked
 
 WINDOW = 8
 # Frequent function words of each language.
@@ -68,18 +68,18 @@ def _covered(pairs: Column) -> Column:
 
 
 def features(docs: DataFrame, s: Settings, *, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without its text, with the base counts and the two histograms (arrays of counts)."""
+    """(_row, _language, base counts, _classes, _common): other columns packed, histograms as arrays of counts."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "_classes", "_common")
-    keep = [c for c in docs.columns if c not in (text, *names)]
-    body = F.coalesce(F.col(text), F.lit(""))
+    keep = ["_row", "_language"]
+    body = F.coalesce(column(text), F.lit(""))
     lists = {k: list(v) for k, v in s.common.items()}
     every = sorted({w for v in lists.values() for w in v})
     wanted = F.lit(None)
     for k, v in lists.items():
-        wanted = F.when(F.col(lang) == k, F.array(*map(F.lit, v))).otherwise(wanted)
+        wanted = F.when(column(lang) == k, F.array(*map(F.lit, v))).otherwise(wanted)
     wanted = F.coalesce(wanted.cast("array<string>"), F.array(*map(F.lit, every)))
 
-    a = docs.select(*keep, body.alias("_text"), space_words(body).alias("_words"), wanted.alias("_wanted"))
+    a = docs.select(packed(docs, (text, *names, "base_failed", "js_classes", "js_words", "kept")), column(lang).alias("_language"), body.alias("_text"), space_words(body).alias("_words"), wanted.alias("_wanted"))
     lines = F.filter(F.split("_text", "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
     # one class after the other is taken out; what is left gets short after the first two steps
     a = a.select("*", lines.alias("_lines"), F.transform("_words", lambda w: F.xxhash64(w)).alias("_wh"),
@@ -120,10 +120,10 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
 
 
-def references(rows: DataFrame, s: Settings, lang: str = "lang") -> DataFrame:
+def references(rows: DataFrame, s: Settings) -> DataFrame:
     """(lang, classes, words): the mean histograms of each language, as arrays."""
     long = rows.where(F.col("n_words") >= s.min_words).select(
-        F.col(lang).alias("_lang"), F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), _share(F.col(c)).alias("p"))
+        F.col("_language").alias("_lang"), F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), _share(F.col(c)).alias("p"))
                                                        for kind, c in (("classes", "_classes"), ("words", "_common"))])).alias("h"))
     bins = long.select("_lang", "h.kind", F.posexplode("h.p").alias("bin", "p"))
     means = bins.groupBy("_lang", "kind", "bin").agg(F.avg("p").alias("p"))  # a few dozen rows a language
@@ -136,13 +136,12 @@ def judge(docs: DataFrame, settings: Settings = Settings(), *, text: str = "text
     (NULL under ``min_words``) and ``kept``."""
     s = settings
     rows = stored(features(docs, s, text=text, lang=lang), "divergence-features")
-    refs = small(stored(references(rows, s, lang), "divergence-references"), 10_000)
-    out = rows.join(refs, F.col(lang).eqNullSafe(F.col("_lang")), "left")
+    refs = small(stored(references(rows, s), "divergence-references"), 10_000)
+    out = rows.join(refs, F.col("_language").eqNullSafe(F.col("_lang")), "left")
     long = F.col("n_words") >= s.min_words
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    names = ("base_failed", "js_classes", "js_words", "kept")
-    keep = [c for c in rows.columns if c not in ("_classes", "_common", *names)]
-    out = out.select(*keep, failed.alias("base_failed"),
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    out = out.select(*unpacked(rows), *counts, failed.alias("base_failed"),
                      F.when(long, js_distance(_share(F.col("_classes")), F.col("_ref_classes"))).alias("js_classes"),
                      F.when(long, js_distance(_share(F.col("_common")), F.col("_ref_words"))).alias("js_words"))
     near = F.coalesce((F.col("js_classes") <= s.max_classes) & (F.col("js_words") <= s.max_words), F.lit(True))

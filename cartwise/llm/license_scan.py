@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import plain_words, stored
+from cartwise.llm.common import column, packed, plain_words, stored, unpacked
 
 
 @dataclass(frozen=True)
@@ -79,16 +79,15 @@ def scan(docs: DataFrame, settings: Settings = Settings(), *, text: str = "text"
     """``docs`` without its text, with n_words, n_base, first_word, last_word, base_labels, labels, score."""
     s, spark = settings, docs.sparkSession
     names = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
-    keep = [c for c in docs.columns if c not in (text, *names)]
     pairs = template_pairs(spark, s)
     hashes = [r["h"] for r in pairs.select("h").distinct().collect()]  # of the given templates
 
-    rows = docs.select(*keep, F.monotonically_increasing_id().alias("_rid"), plain_words(F.col(text)).alias("_words"))
+    rows = docs.select(packed(docs, (text, *names)), F.monotonically_increasing_id().alias("_rid"), plain_words(column(text)).alias("_words"))
     rolling = F.transform("_words", lambda w, i: F.struct(i.alias("pos"), F.xxhash64(F.concat_ws(" ", w, F.get(F.col("_words"), i + 1))).alias("h")))
     hits = F.transform(F.filter(rolling, lambda x: x["h"].isin(hashes)), lambda x: F.struct(
         x["pos"].alias("pos"), x["h"].alias("h"),
         F.concat_ws(" ", F.get(F.col("_words"), x["pos"]), F.get(F.col("_words"), x["pos"] + 1)).alias("pair")))
-    rows = stored(rows.select(*keep, "_rid", F.size("_words").cast("long").alias("n_words"), hits.alias("_hits")), "license-rows")
+    rows = stored(rows.select("_row", "_rid", F.size("_words").cast("long").alias("n_words"), hits.alias("_hits")), "license-rows")
 
     votes = (rows.select("_rid", F.explode("_hits").alias("x")).select("_rid", "x.*")
              .join(F.broadcast(pairs), ["h", "pair"])  # the given templates
@@ -118,5 +117,5 @@ def scan(docs: DataFrame, settings: Settings = Settings(), *, text: str = "text"
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("_all"), F.max("share").alias("_score"))
     zero, none = F.lit(0).cast("long"), F.lit("")
     return rows.join(found, F.col("_rid") == F.col("_f"), "left").select(
-        *keep, "n_words", F.coalesce("_n", zero).alias("n_base"), "first_word", "last_word",
+        *unpacked(rows), "n_words", F.coalesce("_n", zero).alias("n_base"), "first_word", "last_word",
         F.coalesce("_base", none).alias("base_labels"), F.coalesce("_all", none).alias("labels"), F.coalesce("_score", F.lit(0.0)).alias("score"))

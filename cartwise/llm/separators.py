@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwise.llm.bpe import Bpe, Encoder, slices, text_bytes
-from cartwise.llm.common import stored
+from cartwise.llm.common import ship, stored
 
 BLOCK = 1 << 16
 RUN = 1024
@@ -43,6 +43,7 @@ def write_stream(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc
     strings taken as ordinary text. Rows with ``tokens`` are the stream; rows with ``ids`` are the list of documents
     written (from ordinal ``first``), which the scan doesn't read.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     given = docs.select(F.col(text).cast("binary").alias("t"), F.col(doc_id).alias("id"))
     id_type = T.ArrayType(given.schema["id"].dataType)
@@ -82,6 +83,7 @@ def write_stream(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc
 def read_files(spark: SparkSession, path: str, end_id: int, block: int = BLOCK) -> DataFrame:
     """(file, block, tokens) of raw token files; ``file`` numbers the paths in order. A file is one row of
     Spark's binary reader, so at most 2 GB; longer streams are written in several files."""
+    ship(spark)
     paths = spark.read.format("binaryFile").load(path).select("path")
     number = {r["path"]: i for i, r in enumerate(paths.orderBy("path").collect())}  # file names
     width = np.dtype(token_type(end_id)).itemsize * block
@@ -100,6 +102,7 @@ def read_files(spark: SparkSession, path: str, end_id: int, block: int = BLOCK)
 
 def find_separators(blocks: DataFrame, end_id: int) -> DataFrame:
     """(file, block, size, at): each block's number of tokens and its separators' places."""
+    ship(blocks.sparkSession)
     kind = token_type(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import small, stored
+from cartwise.llm.common import column, packed, ship, small, stored, unpacked
 
 SEED = 42
 MAX_ROUNDS = 64
@@ -66,6 +66,7 @@ def fingerprint(text: bytes | None, width: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, *, text: str = "text", width: int = 4, out: str = "fp") -> DataFrame:
     """``docs`` without its text, with the fingerprint in ``out`` (long, as signed)."""
+    ship(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (text, out)]
     given = docs.select(*keep, F.col(text).cast("binary").alias("_text"))
     schema = given.drop("_text").schema.add(out, "long")
@@ -170,10 +171,11 @@ def cross_links(labelled: DataFrame, max_distance: int) -> DataFrame:
         "a", "b").distinct()
 
 
-def _labelled(docs: DataFrame, keep: list[str], doc_id: str, text: str, width: int, max_distance: int) -> tuple[DataFrame, DataFrame]:
-    """The stored rows (``keep``, _fp), and (_fp, top, component_id) for each distinct fingerprint."""
-    rows = stored(fingerprints(docs.select(*keep, text), text=text, width=width, out="_fp"), "simhash-rows")
-    nodes = stored(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min(doc_id).alias("least")), "simhash-nodes")
+def _labelled(rows: DataFrame, width: int, max_distance: int) -> tuple[DataFrame, DataFrame]:
+    """The stored ``rows`` (id, text and more) with _fp for the text, and (_fp, top, component_id) for
+    each distinct fingerprint."""
+    rows = stored(fingerprints(rows, text="text", width=width, out="_fp"), "simhash-rows")
+    nodes = stored(rows.groupBy(F.col("_fp").alias("fp")).agg(F.min("id").alias("least")), "simhash-nodes")
     first = stored(components(nodes, chain_links(nodes.select("fp"), max_distance)), "simhash-first")
     heads = first.select("comp").distinct().withColumnRenamed("comp", "fp")
     second = components(heads, cross_links(first, max_distance)).toDF("comp", "top")
@@ -185,10 +187,11 @@ def _labelled(docs: DataFrame, keep: list[str], doc_id: str, text: str, width: i
 def cluster(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4,
             max_distance: int = 4) -> DataFrame:
     """``docs`` without its text, with ``fingerprint`` (16 hex digits) and ``component_id``."""
-    keep = [c for c in docs.columns if c not in ("fingerprint", "component_id", text)]
-    rows, final = _labelled(docs, keep, doc_id, text, width, max_distance)
+    out = (text, "fingerprint", "component_id")
+    rows = docs.select(packed(docs, out), column(doc_id).alias("id"), column(text).alias("text"))
+    rows, final = _labelled(rows, width, max_distance)
     hexed = F.lower(F.lpad(F.hex("_fp"), 16, "0"))
-    return rows.join(final, "_fp").select(*keep, hexed.alias("fingerprint"), "component_id")
+    return rows.join(final, "_fp").select(*unpacked(rows), hexed.alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4,
@@ -196,13 +199,14 @@ def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     """One row of ``docs`` per component, unchanged: that with the smallest ``doc_id``, and among rows that
     repeat it the first along the scan. A component of NULL ids alone keeps its first row.
 
-    Texts are not shuffled: rows are numbered along the scan, and the numbers of those that stay are joined
+    Texts are not shuffled: rows are numbered along the scan, and the numbers of those that go are joined
     (broadcast when few).
     """
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    rows, final = _labelled(numbered.select("_rid", doc_id, text), ["_rid", doc_id], doc_id, text, width, max_distance)
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_rid").alias("rid")))
+    numbered = docs.select(packed(docs), F.monotonically_increasing_id().alias("rid"))
+    slim = docs.select(F.monotonically_increasing_id().alias("rid"), column(doc_id).alias("id"), column(text).alias("text"))
+    rows, final = _labelled(slim, width, max_distance)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("rid").alias("rid")))
     best = (rows.groupBy("_fp").agg(first.alias("first")).join(final, "_fp")
-            .groupBy("top").agg(F.min("first")["rid"].alias("_rid")))
-    goes = stored(rows.select("_rid").join(best, "_rid", "left_anti"), "simhash-goes")
-    return numbered.join(small(goes, MAX_BROADCAST_ROWS), "_rid", "left_anti").select(*docs.columns)
+            .groupBy("top").agg(F.min("first")["rid"].alias("rid")))
+    goes = stored(rows.select("rid").join(best, "rid", "left_anti"), "simhash-goes")
+    return numbered.join(small(goes, MAX_BROADCAST_ROWS), "rid", "left_anti").select(*unpacked(numbered))

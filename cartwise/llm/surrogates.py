@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import small, stored
+from cartwise.llm.common import column, packed, small, stored
 
 MAX_ATTEMPTS = 20
 LONGER = 8
@@ -140,7 +140,7 @@ def render(kind: Column, mention: Column, canon: Column) -> Column:
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """(rid, kind, canon, n): the distinct entities of each row (numbered along the scan) with their mentions."""
-    found = docs.select(F.monotonically_increasing_id().alias("rid"), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("m"))
+    found = docs.select(F.monotonically_increasing_id().alias("rid"), F.regexp_extract_all(column(text), F.lit(ANY), F.lit(0)).alias("m"))
     found = found.where(F.size("m") > 0).select("rid", F.explode("m").alias("m")).select("rid", "m", kind_of(F.col("m")).alias("kind"))
     return found.groupBy("rid", "kind", canonical(F.col("kind"), F.col("m")).alias("canon")).agg(F.count("*").alias("n"))
 
@@ -179,11 +179,10 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str |
     odd_rows = (found.join(small(odd, MAX_BROADCAST_ROWS), ["kind", "canon"]).groupBy("rid")
                 .agg(F.map_from_entries(F.collect_list(F.struct(slot.alias("k"), "fake"))).alias("_odd")))
     odd_rows = small(stored(odd_rows, "pii-odd"), MAX_BROADCAST_ROWS)
-    keep = [c for c in docs.columns if c != count]
-    rows = docs.select(*keep, F.monotonically_increasing_id().alias("rid")).join(odd_rows, "rid", "left")
-    rows = rows.select(*keep, "_odd", F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)).alias("_m"))
+    rows = docs.select(packed(docs), column(text).alias("_text"), F.monotonically_increasing_id().alias("rid")).join(odd_rows, "rid", "left")
+    rows = rows.select("_row", "_text", "_odd", F.regexp_extract_all("_text", F.lit(ANY), F.lit(0)).alias("_m"))
     some = F.size("_m") > 0
-    rows = rows.withColumn("_gaps", F.when(some, F.split(F.col(text), ANY, -1)))
+    rows = rows.withColumn("_gaps", F.when(some, F.split(F.col("_text"), ANY, -1)))
     typed = F.transform("_m", lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
     rows = rows.withColumn("_m", F.transform(typed, lambda x: F.struct(x["m"].alias("m"), x["kind"].alias("kind"), canonical(x["kind"], x["m"]).alias("canon"))))
     none = F.lit(None).cast("string")
@@ -193,6 +192,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str |
         fake = F.coalesce(special, surrogate(x["kind"], x["canon"], F.lit(0), key))
         return F.concat(render(x["kind"], x["m"], fake), F.get(F.col("_gaps"), i + 1))
 
-    new = F.when(some, F.concat(F.get(F.col("_gaps"), F.lit(0)), F.array_join(F.transform("_m", swap), ""))).otherwise(F.col(text))
+    new = F.when(some, F.concat(F.get(F.col("_gaps"), F.lit(0)), F.array_join(F.transform("_m", swap), ""))).otherwise(F.col("_text"))
     extra = [F.greatest(F.size("_m"), F.lit(0)).cast("long").alias(count)] if count else []
-    return rows.select(*[new.alias(c) if c == text else F.col(c) for c in keep], *extra)
+    kept = [new.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns if c != count]
+    return rows.select(*kept, *extra)

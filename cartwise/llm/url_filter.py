@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.llm.common import ascii_lower, small, stored
+from cartwise.llm.common import ascii_lower, column, packed, small, stored
 
 MAX_BROADCAST_RULES = 200_000
 MAX_UNINDEXED_RULES = 100
@@ -143,7 +143,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], method_rules: Sequence[Rule]
     """
     spark = pages.sparkSession
     out = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    urls = pages.select(F.col(url).alias("url")).where("url is not null").distinct()
+    urls = pages.select(column(url).alias("url")).where("url is not null").distinct()
     n = len(rules)
     table = stored(rules_table(spark, [*rules, *method_rules]), "url-rules")
     found = candidates(urls, index_rules(table, urls))
@@ -156,6 +156,6 @@ def judge(pages: DataFrame, rules: Sequence[Rule], method_rules: Sequence[Rule]
         (F.col("verdict") != "block").alias("allow"), F.col("verdict"))).alias("best"))
     judged = best.select(F.col("url").alias("_url"), F.when(~F.col("best.own"), F.col("best.rule")).alias("_rule"),
                          F.col("best.verdict").alias("_verdict"))
-    return (pages.join(judged, F.col(url) == F.col("_url"), "left")
-            .select(*out, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
+    return (pages.select(packed(pages, ("host", "path", "rule", "verdict")), column(url).alias("_given")).join(judged, F.col("_given") == F.col("_url"), "left")
+            .select(*[F.col("_row").getField(c).alias(c) for c in out], host_of(F.col("_given")).alias("host"), path_of(F.col("_given")).alias("path"),
                     F.col("_rule").alias("rule"), F.coalesce("_verdict", F.lit(default)).alias("verdict")))
