@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -70,6 +71,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stable(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if it is a plain read of files (with columns and rows selected), else a stored copy.
+
+    Numbers that ``monotonically_increasing_id`` gives along such a read are the same each time it is
+    evaluated; after a shuffle, or for rows from memory, they need not be.
+    """
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    kinds = {m[1] for m in re.finditer(r"(?m)^[ :+-]*(\w+)", plan)}
+    return docs if kinds <= {"Relation", "Project", "Filter"} else stored(docs, "rows")
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's source to the executors, once per Spark context, so that functions run there
     that are not installed there. Spark's own file server distributes the archive."""

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import column, packed, plain_words, small, stored, unpacked
+from cartwise.llm.common import column, packed, plain_words, small, stable, stored, unpacked
 
 MAX_BROADCAST_WINDOWS = 200_000
 
@@ -43,6 +43,7 @@ class Tests:
 
 def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
     """(_row, rid, _words): rows numbered along the scan; each read of the same files gives the same numbers."""
+    docs = stable(docs)
     return docs.select(packed(docs), F.monotonically_increasing_id().alias("rid"), plain_words(column(text)).alias("_words"))
 
 

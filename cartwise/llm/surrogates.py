@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import column, packed, small, stored
+from cartwise.llm.common import column, packed, small, stable, stored
 
 MAX_ATTEMPTS = 20
 LONGER = 8
@@ -172,6 +172,7 @@ def assign(distinct: DataFrame, key: str) -> DataFrame:
 
 def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str | None = None) -> DataFrame:
     """``docs`` with every entity of ``text`` replaced; ``count`` names a column for the number of mentions."""
+    docs = stable(docs)
     found = stored(entities(docs, text), "pii-entities")
     mapped = assign(stored(found.select("kind", "canon").distinct(), "pii-distinct"), key)
     odd = mapped.where("attempt > 0")
