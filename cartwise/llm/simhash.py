@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.common import column, packed, ship, small, stored, unpacked
+from cartwise.llm.common import column, packed, ship, small, stable, stored, unpacked
 
 SEED = 42
 MAX_ROUNDS = 64
@@ -160,15 +160,26 @@ def _spread(df: DataFrame, *by: str) -> DataFrame:
 
 def cross_links(labelled: DataFrame, max_distance: int) -> DataFrame:
     """Verified links (a, b) between the components of ``labelled`` (fp, comp): the complete
-    equality join over variant buckets, made only where a bucket holds two components."""
-    index = variants(labelled, max_distance, "fp", "comp")
-    mixed = (index.groupBy("slot", "value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("slot", "value"))
-    index = stored(index.join(mixed, ["slot", "value"], "left_semi"), "simhash-index")
-    a = index.select("slot", "value", F.col("fp").alias("fa"), F.col("comp").alias("a"))
-    b = index.select("slot", "value", F.col("fp").alias("fb"), F.col("comp").alias("b"))
-    return a.join(b, ["slot", "value"]).where((F.col("a") < F.col("b")) & _near("fa", "fb", max_distance)).select(
-        "a", "b").distinct()
+    equality join over variant buckets, made only where a bucket holds two components.
+
+    Buckets of over ``CROWD`` rows are cut again: of ``max_distance + 1`` parts of the 64 bits, two
+    linked fingerprints have one in common, so the members meet on (bucket, part) and not all at once.
+    """
+    edges = [round(64 * i / (max_distance + 1)) for i in range(max_distance + 2)]
+    parts = F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(((1 << b - a) - 1) << a))).alias("bits"))
+                      for i, (a, b) in enumerate(zip(edges, edges[1:]))])
+    w = Window.partitionBy("slot", "value")
+    mixed = (variants(_spread(labelled, "fp"), max_distance, "fp", "comp")
+             .select("*", F.min("comp").over(w).alias("lo"), F.max("comp").over(w).alias("hi"), F.count("*").over(w).alias("n"))
+             .where("lo <> hi").select("slot", "value", "fp", "comp", "n"))
+    mixed = stored(mixed, "simhash-index")
+    plain = mixed.where(F.col("n") <= CROWD).select("slot", "value", F.lit(-1).alias("part"), F.lit(0).cast("long").alias("bits"), "fp", "comp")
+    crowded = mixed.where(F.col("n") > CROWD).select("slot", "value", "fp", "comp", F.explode(parts).alias("cut"))
+    index = plain.unionByName(crowded.select("slot", "value", "cut.part", "cut.bits", "fp", "comp"))
+    key = ["slot", "value", "part", "bits"]
+    a = index.select(*key, F.col("fp").alias("fa"), F.col("comp").alias("a"))
+    b = index.select(*key, F.col("fp").alias("fb"), F.col("comp").alias("b"))
+    return a.join(b, key).where((F.col("a") < F.col("b")) & _near("fa", "fb", max_distance)).select("a", "b").distinct()
 
 
 def _labelled(rows: DataFrame, width: int, max_distance: int) -> tuple[DataFrame, DataFrame]:
@@ -202,6 +213,7 @@ def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Texts are not shuffled: rows are numbered along the scan, and the numbers of those that go are joined
     (broadcast when few).
     """
+    docs = stable(docs)
     numbered = docs.select(packed(docs), F.monotonically_increasing_id().alias("rid"))
     slim = docs.select(F.monotonically_increasing_id().alias("rid"), column(doc_id).alias("id"), column(text).alias("text"))
     rows, final = _labelled(slim, width, max_distance)
