@@ -174,6 +174,16 @@ def test_surrogates(spark):
     assert surrogates.pseudonymise(no_docs(spark), "k").collect() == []
 
 
+def test_every_mention_holds_a_hint():
+    hints, find = [regex.compile(h) for h in surrogates.HINTS], regex.compile(surrogates.ANY)
+    titles = "Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Monsieur|Madame|Sr|Sra|Señor|Señora".split("|")
+    texts = [*PEOPLE, *(f"x {t}{dot} Ann Lee" for t in titles for dot in ("", ".")), "abcdef" * 6, "ABCDEF" * 6,
+             "ghp_" + "a" * 36, "sk-" + "b" * 20, "AKIA" + "C" * 16]
+    for text in texts:
+        found = find.findall(text)
+        assert found and all(any(h.search(m) for h in hints) for m in found), text
+
+
 def test_surrogates_of_a_used_up_space(spark):
     rows = [(i, f"{i // 256 % 10}.{i % 10}.{i // 10 % 10}.{i // 100}", "en", "s", 0) for i in range(1000)]
     out = surrogates.pseudonymise(frame(spark, rows), "k").select("text").collect()
