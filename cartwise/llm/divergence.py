@@ -5,8 +5,15 @@ language's reference is the mean over its documents with at least ``min_words``
 their normalised histograms, so no long or repeated document dominates by its length: one
 of character classes (lower case, upper case, digits, symbols, other ASCII marks, other letters,
 the rest) and one of the language's most common words with all other words as the last bin. A document is kept
-if it passes the base rules and lies within ``max_classes`` and ``max_words`` of its
+if it passes the base rules and lies within ``max_classes`` and at most ``max_words`` (below) of its
 references in Jensen-Shannon distance (square root of the divergence in bits, 0 to 1).
+
+Limits of words. The distance to the common words falls with a text's length, and a text without one of
+them lies at a fixed distance (``void``) that ``max_words`` may never reach. So ``max_words`` is lowered, from all documents
+that pass the other rules: per language and length (doubling number of words; at least ``min_rows`` documents) to
+the median plus ``spread`` times the way from the 10 % quantile to the median, which foreign text among them hardly
+moves; and, where a language's median is under half its void, to ``near_void`` of that, at any length.
+
 Documents under ``min_words`` words are too short to compare and answer to the base rules alone.
 
 Base counts: ``n_words`` (``[^\\x20\\x09-\\x0D]+``), ``word_chars`` (code points in them),
@@ -45,6 +52,9 @@ class Settings:
     min_words: int = 50
     max_classes: float = 0.25
     max_words: float = 0.3
+    spread: float = 3.0
+    near_void: float = 0.95
+    min_rows: int = 100
     common: dict[str, tuple[str, ...]] = field(default_factory=lambda: COMMON_WORDS)
 
 
@@ -131,6 +141,27 @@ def references(rows: DataFrame, s: Settings) -> DataFrame:
     return arrays.select("_lang", *[F.transform(k, lambda x: x["p"]).alias(f"_ref_{k}") for k in ("classes", "words")])
 
 
+def _length_band() -> Column:
+    return F.least(F.floor(F.log2("n_words")), F.lit(9)).cast("int")
+
+
+def limits(compared: DataFrame, refs: DataFrame, s: Settings) -> DataFrame:
+    """(lang, band, limit): the largest distance of words; band -1 is for lengths with too few documents."""
+    fine = compared.where(~F.col("base_failed") & (F.col("js_classes") <= s.max_classes) & F.col("js_words").isNotNull())
+    fine = fine.select("_language", _length_band().alias("_band"), "js_words")
+    low, mid = (F.percentile_approx("js_words", q, 10_000) for q in (0.1, 0.5))
+    bands = fine.groupBy("_language", "_band").agg(low.alias("low"), mid.alias("mid"), F.count("*").alias("n")).where(F.col("n") >= s.min_rows)
+    bands = bands.select("_language", "_band", (F.col("mid") + s.spread * (F.col("mid") - F.col("low"))).alias("own"))
+    whole = fine.groupBy("_language").agg(mid.alias("mid"))
+    none = F.transform("_ref_words", lambda x, i: F.when(i == F.size("_ref_words") - 1, 1.0).otherwise(0.0))
+    void = refs.select("_lang", js_distance(none, F.col("_ref_words")).alias("void"))
+    ceiling = F.least(F.lit(s.max_words), F.when(F.col("void") > 2 * F.col("mid"), s.near_void * F.col("void")))
+    tops = whole.join(void, F.col("_language").eqNullSafe(F.col("_lang"))).select("_lang", ceiling.alias("top"))
+    every = bands.unionByName(whole.select("_language", F.lit(-1).alias("_band"), F.lit(None).cast("double").alias("own")))
+    return every.join(tops, F.col("_language").eqNullSafe(F.col("_lang"))).select(
+        F.col("_language").alias("_lang"), F.col("_band").alias("_at"), F.least("own", "top").alias("_limit"))
+
+
 def judge(docs: DataFrame, settings: Settings = Settings(), *, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without its text, with the base counts, ``base_failed``, ``js_classes``, ``js_words``
     (NULL under ``min_words``) and ``kept``."""
@@ -141,8 +172,14 @@ def judge(docs: DataFrame, settings: Settings = Settings(), *, text: str = "text
     long = F.col("n_words") >= s.min_words
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    out = out.select(*unpacked(rows), *counts, failed.alias("base_failed"),
+    out = out.select("_row", "_language", *counts, failed.alias("base_failed"),
                      F.when(long, js_distance(_share(F.col("_classes")), F.col("_ref_classes"))).alias("js_classes"),
                      F.when(long, js_distance(_share(F.col("_common")), F.col("_ref_words"))).alias("js_words"))
-    near = F.coalesce((F.col("js_classes") <= s.max_classes) & (F.col("js_words") <= s.max_words), F.lit(True))
-    return out.withColumn("kept", ~F.col("base_failed") & near)
+    cuts = stored(limits(out, refs, s), "divergence-limits")  # at most 11 rows a language
+    own = small(cuts.where("_at >= 0"), 50_000)
+    rest = small(cuts.where("_at < 0").select(F.col("_lang").alias("_of"), F.col("_limit").alias("_rest")), 10_000)
+    out = (out.join(own, F.col("_language").eqNullSafe(F.col("_lang")) & (_length_band() == F.col("_at")), "left")
+           .join(rest, F.col("_language").eqNullSafe(F.col("_of")), "left"))
+    limit = F.coalesce("_limit", "_rest", F.lit(s.max_words))
+    near = F.coalesce((F.col("js_classes") <= s.max_classes) & (F.col("js_words") <= limit), F.lit(True))
+    return out.select(*unpacked(rows), *counts, "base_failed", "js_classes", "js_words", (~F.col("base_failed") & near).alias("kept"))

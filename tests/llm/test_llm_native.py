@@ -59,6 +59,23 @@ def test_divergence_rejects_strange_documents(spark):
     assert not kept.pop(100) and all(kept.values())
 
 
+def test_divergence_rejects_wrong_languages_and_missing_common_words(spark):
+    rng = random.Random(3)
+
+    def text(lang, n=130, share=0.35):
+        # the more frequent a common word, the earlier it stands in its list
+        common = divergence.COMMON_WORDS[lang]
+        return " ".join(rng.choices(common, [1 / (k + 1) for k in range(len(common))])[0] if rng.random() < share else "qu" + w for w in words(rng, n).split())
+
+    rows = [(1000 * k + i, text(lang), lang, "s", 0) for k, lang in enumerate(("de", "en", "es", "fr")) for i in range(120)]
+    wrong = [(f, t) for f in ("de", "en", "es", "fr") for t in ("de", "en", "es", "fr") if f != t]
+    rows += [(10_000 + i, text(f), t, "s", 0) for i, (f, t) in enumerate(wrong)]
+    rows += [(20_000 + i, text(t, n, 0), t, "s", 0) for i, (t, n) in enumerate((t, n) for t in ("de", "en", "es", "fr") for n in (55, 130, 600))]
+    kept = {r["doc_id"]: r["kept"] for r in divergence.judge(frame(spark, rows)).collect()}
+    assert not any(v for i, v in kept.items() if i >= 10_000)
+    assert sum(v for i, v in kept.items() if i < 10_000) >= 0.97 * 480
+
+
 def test_js_distance(spark):
     df = spark.createDataFrame([([0.5, 0.5], [0.5, 0.5]), ([1.0, 0.0], [0.0, 1.0]), ([0.0, 0.0], [0.0, 0.0])], "p array<double>, q array<double>")
     assert [round(r[0], 6) for r in df.select(divergence.js_distance(F.col("p"), F.col("q"))).collect()] == [0.0, 1.0, 0.0]
