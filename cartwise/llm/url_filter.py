@@ -70,7 +70,10 @@ METHOD_RULES = (
     Rule("block", pattern=r"://([^/?#]*[.-])?spam([.-][^/?#]*)?([/?#]|$)", literals=("spam",)),
     Rule("block", pattern=r"://([^/?#]*[.-])?pills([.-][^/?#]*)?([/?#]|$)", literals=("pills",)),
     Rule("block", pattern=r"://([^/?#]*[.-])?casino([.-][^/?#]*)?([/?#]|$)", literals=("casino",)),
-    Rule("block", pattern=r"://([^/?#]*[.-])?(free|cheap)-?porn([.-][^/?#]*)?([/?#]|$)", literals=("porn",)),
+    # one rule for each spelling: a literal is a whole token of every match
+    Rule("block", pattern=r"://([^/?#]*[.-])?(free|cheap)-porn([.-][^/?#]*)?([/?#]|$)", literals=("porn",)),
+    Rule("block", pattern=r"://([^/?#]*[.-])?freeporn([.-][^/?#]*)?([/?#]|$)", literals=("freeporn",)),
+    Rule("block", pattern=r"://([^/?#]*[.-])?cheapporn([.-][^/?#]*)?([/?#]|$)", literals=("cheapporn",)),
 )
 
 

@@ -235,6 +235,17 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.where("false"), url_filter.CONTRACT_RULES).collect() == []
 
 
+def test_fitting_urls_hold_a_literal_of_their_rule(spark):
+    names = ("spam", "pills", "casino", "freeporn", "cheapporn", "free-porn", "cheap-porn")
+    urls = [f"https://{before}{n}{after}" for n in names for before in ("", "www.", "my-") for after in ("", "/x", ".example.net/", "-x.net?q")]
+    for r in url_filter.METHOD_RULES:
+        fitting = [u for u in urls if re.search(r.pattern, u)]
+        assert fitting and all(set(r.literals) <= set(re.findall(url_filter.TOKEN, u)) for u in fitting), r
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = url_filter.judge(pages, url_filter.CONTRACT_RULES).select("url", "verdict").collect()
+    assert len(got) == len(urls) and all(r["verdict"] == "block" for r in got)
+
+
 def test_rules_are_indexed_by_their_rarest_literal(spark):
     urls = spark.createDataFrame([(u,) for u in set(URLS) if u], "url string")
     table = url_filter.rules_table(spark, url_filter.CONTRACT_RULES)
