@@ -36,12 +36,18 @@ def _stripped(c: str) -> str:
     return f"trim(both ' \\t\\n\\u000b\\f\\r' from {c})"
 
 
-# A plain or exponent-notation number: sign, integer digits, fraction digits, exponent.
-_NUMBER = "^[+-]?([0-9]*)(?:[.]([0-9]*))?(?:[eE]([+-]?[0-9]+))?$"
+# Text forms of numbers, with white space at the ends. A failing try_cast costs an exception inside Spark, tens of
+# microseconds a value, so text is cast only where its form says that the cast succeeds.
+_WHOLE = r"^\\s*+([+-]?[0-9]++)(?:[.]0*+)?\\s*+$"  # an integer, perhaps with a fraction of zeros
+_START = r"^\\s*+[+-]?[.]?[0-9]"
+_FRACTION = r"^\\s*+[+-]?[0-9]*+[.]0*+[1-9][0-9]*+\\s*+$"  # plainly no integer
+_POWER = r"^\\s*+([+-]?[0-9]{1,9})[eE][+]?([0-9])\\s*+$"  # an integer times a power of ten, of 18 digits at most
+_SCALED_UP = r"^\\s*+[+-]?(?=[.]?[0-9])[0-9]{0,20}(?:[.][0-9]{0,18})?[eE][+]?[0-9]\\s*+$"  # exact as decimal(38,18)
+_NUMBER = r"^\\s*+[+-]?(?=[.]?[0-9])([0-9]*+)(?:[.]([0-9]*+))?(?:[eE]([+-]?[0-9]++))?\\s*+$"
 
 
 def _exactly_integral_text(t: str) -> str:
-    """True when the text is a number whose value is an integer, decided on the digits.
+    """True when the text, which matches ``_NUMBER``, is a number whose value is an integer, decided on the digits.
 
     The value is D x 10^(e - f) for the digit string D (integer and fraction
     digits), fraction length f and exponent e; it is integral when the last
@@ -53,11 +59,26 @@ def _exactly_integral_text(t: str) -> str:
     ex = f"regexp_extract({t}, '{_NUMBER}', 3)"
     k = f"(length({fp}) - coalesce(try_cast(nullif({ex}, '') as int), 0))"
     return (
-        f"({t} rlike '{_NUMBER}' and ({ex} = '' or try_cast({ex} as int) is not null)"
+        f"(({ex} = '' or try_cast({ex} as int) is not null)"
         f" and ({k} <= 0 or not (right(concat({ip}, {fp}), {k}) rlike '[1-9]')))"
     )
 
 
+def _integer_text_sql(c: str, target: str) -> str:
+    """Whole numbers are one extraction (a common subexpression of the generated code) and a cast. What else may be a
+    number goes to a function over an array of one: its variable binds the text once, and the generated code stays small."""
+    u = f"regexp_extract({c}, '{_WHOLE}', 1)"
+    digits = f"cast({u} as bigint)" if target == BIGINT else f"try_cast(cast({u} as bigint) as {target})"
+    power = f"try_cast(concat(regexp_extract(t, '{_POWER}', 1), repeat('0', cast(regexp_extract(t, '{_POWER}', 2) as int))) as {target})"
+    d = f"try_cast(t as {_WIDE})"
+    whole = f"if({d} = floor({d}), try_cast({d} as {target}), null)"
+    rest = (f"case when t rlike '{_FRACTION}' then null"
+            f" when t rlike '{_POWER}' then {power}"
+            f" when t rlike '{_SCALED_UP}' then {whole}"
+            f" when t rlike '{_NUMBER}' and {_exactly_integral_text('t')} then {whole} end")
+    return f"case when length({u}) between 1 and 18 then {digits} when {c} rlike '{_START}' then transform(array({c}), t -> {rest})[0] end"
+
+
 def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
     if isinstance(source, _INTEGRAL):
         return f"try_cast({c} as {target})"
@@ -67,11 +88,8 @@ def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
         return f"case when not isnan({c}) and {c} = floor({c}) and {inside} then try_cast({c} as {target}) end"
     if isinstance(source, T.DecimalType):
         return f"case when {c} = floor({c}) then try_cast({c} as {target}) end"
-    t = _stripped(f"cast({c} as string)")
-    d = f"try_cast({t} as {_WIDE})"
-    # plain digits are the common case and need no regular expression
-    return (f"coalesce(try_cast({t} as {target}), "
-            f"case when {_exactly_integral_text(t)} and {d} = floor({d}) then try_cast({d} as {target}) end)")
+    text = c if isinstance(source, T.StringType) else f"cast({c} as string)"
+    return _integer_text_sql(text, target)
 
 
 def decimal_sql(c: str, source: T.DataType, target: str = "decimal(18,4)") -> str:

@@ -56,3 +56,26 @@ def test_coerced_cart_rows(spark):
 
 def test_declared_keys():
     assert {n: s.key for n, s in SPECS.items() if s.key != "pk"} == {"tb_cmssitelp": "itempk"}
+
+
+def test_integer_text_forms_by_exact_arithmetic(spark):
+    """Every form of number text against Python's decimals: plain, zero and other fractions, powers, long digits, junk."""
+    import itertools
+
+    bodies = ["0", "7", "007", "12345678901234567", "999999999999999999", "1234567890123456789", "9223372036854775807", "9223372036854775808",
+              "5.", "5.0", "5.000", ".0", ".5", "5.50", "0.0", "100.00", "1.0000000000000000000", "1.00000000000000000001", "3e3", "3E+3", "30e-1", "3e-1",
+              "1.5e1", "1.5e0", "123456789e9", "1234567890e9", "1e18", "1e19", "0e5", ".5e1", "5.e1", "1e", "e3", ".", "", "1..", "1.2.3", "--1", "nan", "x1", "1x", "1 2", "0x10"]
+    vals = [sign + body for sign, body in itertools.product(["", "-", "+", " \t", "\n-"], bodies)] + [b + "\r\u000b " for b in bodies]
+
+    def exact(text):
+        import re
+
+        if not re.fullmatch(r"[+-]?(?=[.]?[0-9])[0-9]*([.][0-9]*)?([eE][+-]?[0-9]+)?", text.strip(" \t\n\u000b\f\r")):
+            return None
+        d = Decimal(text.strip())
+        return int(d) if d == d.to_integral_value() and -2**63 <= d < 2**63 else None
+
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = {r["s"]: (r["b"], r["i"]) for r in df.select("s", to_integer("s", T.StringType()).alias("b"), to_integer("s", T.StringType(), "int").alias("i")).collect()}
+    small = lambda x: x if x is not None and -2**31 <= x < 2**31 else None
+    assert {v: got[v] for v in vals} == {v: (exact(v), small(exact(v))) for v in vals}
