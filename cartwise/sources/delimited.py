@@ -13,7 +13,10 @@ fills it has more fields than the header and is reported by
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,7 @@ from pyspark.sql import types as T
 from ..functions.coerce import q
 
 EXTRA = "_extra"
+FILES_AT_ONCE = 64
 
 
 def _reader(spark: SparkSession, columns: Sequence[str], sep: str, quote: str, header: bool, multi_line: bool):
@@ -76,16 +80,36 @@ def read_delimited_checked(
     return rows, long_rows
 
 
-def _by_header(spark: SparkSession, path: str, sep: str, quote: str) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) for each distinct header line below ``path``.
+@contextmanager
+def _whole_files(spark: SparkSession) -> Iterator[None]:
+    """Settings under which a scan does not split files."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k, None) for k in (name, "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, str(1 << 60))
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-    The header is the first line of a file's first split. Only names of files and header lines reach the driver.
-    """
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
-    heads = lines.groupBy("file_path").agg(F.first("value").alias("head"))
+
+def header_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(file, head): the first line of each of a few files. Under ``_whole_files`` each file is one partition under a limit of
+    one row, so that its scan ends after the first line."""
+    heads = [spark.read.text(f).select(F.lit(f).alias("file"), F.col("value").alias("head")).limit(1) for f in files]
+    return reduce(DataFrame.unionByName, heads)
+
+
+def _by_header(spark: SparkSession, path: str, sep: str, quote: str) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each distinct header line below ``path``. Only names of files and header lines reach the
+    driver, ``FILES_AT_ONCE`` in a job, and the data is not scanned for them."""
+    names = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
     files: dict[str, list[str]] = {}
-    for r in heads.orderBy("file_path").collect():
-        files.setdefault(r["head"].rstrip("\r").removeprefix("\ufeff"), []).append(r["file_path"])
+    with _whole_files(spark):
+        for at in range(0, len(names), FILES_AT_ONCE):
+            for r in sorted(header_lines(spark, names[at:at + FILES_AT_ONCE]).collect()):
+                files.setdefault(r["head"].rstrip("\r").removeprefix("\ufeff"), []).append(r["file"])
     if not files:
         raise ValueError(f"no header below {path}")
     return [(next(csv.reader([head], delimiter=sep, quotechar=quote)), paths) for head, paths in files.items()]

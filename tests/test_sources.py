@@ -59,3 +59,30 @@ def test_missing_declared_column_fails(spark, tmp_path):
     path = _write(tmp_path, "PK|p_code\n1|a\n")
     with pytest.raises(ValueError, match="p_isocode"):
         read_delimited(spark, path, ["PK", "p_isocode"]).collect()
+
+
+def _scanned_rows(df):
+    """Rows that the scans of an executed plan handed on."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().startswith("Scan"):
+            found.append(node.metrics().get("numOutputRows").get().value())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return sum(found)
+
+
+def test_headers_are_found_without_a_data_scan(spark, tmp_path):
+    from cartwise.sources.delimited import _whole_files, header_lines
+
+    for name in ("a.csv", "b c.csv"):
+        path = _write(tmp_path, "PK|p_code\n" + "".join(f"{i}|code {i}\n" for i in range(300_000)), name)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with _whole_files(spark):
+        heads = header_lines(spark, [str(tmp_path / "a.csv"), path])
+        assert [r["head"] for r in heads.collect()] == ["PK|p_code"] * 2
+        assert _scanned_rows(heads) < 100  # of 600,002
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    rows, _ = read_delimited_checked(spark, str(tmp_path), ["PK", "p_code"])
+    assert rows.count() == 600_000
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
