@@ -51,9 +51,9 @@ def test_unreadable_target_fails_the_batch(spark, tmp_path):
     sink = first_batch_wins_sink(spec, str(target))
     assert _rows(stored_table(spark, str(target), spec)) == []
     sink(spark.createDataFrame([("1", "first")], "pk string, p_uid string").coalesce(1), 0)
-    part = next(target.glob("_batch=0/part-*"))
+    part = next(target.glob("*/_batch=0/part-*"))
     whole = part.read_bytes()
-    for crc in target.glob("_batch=0/.*.crc"):
+    for crc in target.glob("*/_batch=0/.*.crc"):
         crc.unlink()
     part.write_bytes(whole[:-8] + b"\0" * 8)  # the footer is gone
     later = spark.createDataFrame([("1", "second"), ("2", "b")], "pk string, p_uid string")
@@ -63,3 +63,39 @@ def test_unreadable_target_fails_the_batch(spark, tmp_path):
     assert _rows(stored_table(spark, str(target), spec)) == [(1, "first")]
     sink(later, 1)
     assert _rows(stored_table(spark, str(target), spec)) == [(1, "first"), (2, "b")]
+
+
+def test_a_batch_reads_only_its_own_slots(spark, tmp_path):
+    """What a batch reads of the target does not grow with the target's history."""
+    from cartwise.streaming import ingest
+
+    spec = SPECS["tb_users"]
+    target = str(tmp_path / "users")
+    sink = first_batch_wins_sink(spec, target, slot_width=100)
+    batch = lambda start: spark.range(start, start + 100).selectExpr("cast(id as string) as pk", f"'{start}' as p_uid")
+    read = []
+    for i in range(6):
+        sink(batch(100 * i), i)
+        table = spark.read.schema(ingest.target_schema(spec)).parquet(target)
+        known = ingest.known_keys(table, i + 1, spec, [i])
+        assert "SubqueryBroadcast" not in str(known._jdf.queryExecution().executedPlan())
+        read.append((len(known.inputFiles()) and known.count(), ingest.known_keys(table, i + 1, spec, None).count()))
+    assert [few for few, _ in read] == [100] * 6 and [every for _, every in read] == [100 * (i + 1) for i in range(6)]
+    files = ingest.known_keys(table, 6, spec, [3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch" in files and "(_slot" in files.split("PushedFilters")[0]
+    sink(batch(250), 6)  # half known, half known: nothing new
+    sink(spark.createDataFrame([("-1", "low"), ("599", "late"), ("600", "new")], "pk string, p_uid string"), 7)
+    got = dict(_rows(stored_table(spark, target, spec)))
+    assert len(got) == 602 and got[-1] == "low" and got[599] == "500" and got[600] == "new" and got[250] == "200"
+
+
+def test_more_slots_than_a_filter_names(spark, tmp_path, monkeypatch):
+    from cartwise.streaming import ingest
+
+    monkeypatch.setattr(ingest, "MAX_SLOTS", 2)
+    spec = SPECS["tb_users"]
+    sink = first_batch_wins_sink(spec, str(tmp_path / "users"), slot_width=1)
+    rows = lambda uid: spark.createDataFrame([(str(i), uid) for i in range(5)], "pk string, p_uid string")
+    sink(rows("a"), 0)
+    sink(rows("b"), 1)
+    assert _rows(stored_table(spark, str(tmp_path / "users"), spec)) == [(i, "a") for i in range(5)]
