@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,10 +25,15 @@ def dedup_by_key(
     keys: str | Sequence[str],
     order: Sequence[str] | None = None,
     drop_null_keys: bool = True,
+    extra: Sequence[Column] = (),
+    measures: Sequence[str] = (),
 ) -> DataFrame:
+    """``extra`` are further aggregates over the rows of a key (with aliases), appended as columns; ``measures`` are the columns
+    of ``df`` that only they read."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
-    rest = [c for c in cols if c not in keys]
+    unread = set(measures)
+    rest = [c for c in cols if c not in keys and c not in unread]
     order = list(order) if order is not None else rest
     payload = [c for c in rest if c not in order]
     # (is_null, value) pairs give ascending order with NULLs last.
@@ -37,6 +42,7 @@ def dedup_by_key(
     names = {c: f"_v{i}" for i, c in enumerate(order)} | {c: f"_p{j}" for j, c in enumerate(payload)}
     if drop_null_keys:
         df = df.where(" and ".join(f"{_q(k)} is not null" for k in keys))
-    best = df.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(fields)}))").alias("_w"))
-    return best.selectExpr(*[_q(c) if c in keys else f"_w.{names[c]} as {_q(c)}" for c in cols])
+    best = df.groupBy(*keys).agg(F.expr(f"min(struct({', '.join(fields)}))").alias("_w"), *extra)
+    more = [_q(c) for c in best.columns[len(keys) + 1:]]
+    return best.selectExpr(*[_q(c) if c in keys else f"_w.{names[c]} as {_q(c)}" for c in cols if c not in unread], *more)
 

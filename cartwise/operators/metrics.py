@@ -28,8 +28,24 @@ def load_metrics(raw: DataFrame, spec: TableSpec) -> DataFrame:
     collecting keys. As a plain aggregate the counts stay exact when tasks run again.
     """
     both = with_coerced(raw, spec)
-    rejected = " + ".join(f"case when {q(n)} is not null and {q(COERCED + n)} is null then 1 else 0 end" for n in spec.normalized)
-    per_key = both.selectExpr(f"{q(COERCED + spec.key)} as _k", f"{rejected} as _rej").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
+    per_key = both.selectExpr(f"{q(COERCED + spec.key)} as _k", f"{rejected_sql(spec)} as _rej").groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rej").alias("_rej"))
+    return _metrics(per_key, spec)
+
+
+def rejected_sql(spec: TableSpec) -> str:
+    """Over ``with_coerced``: how many of a row's values are given but did not convert."""
+    return " + ".join(f"case when {q(n)} is not null and {q(COERCED + n)} is null then 1 else 0 end" for n in spec.normalized)
+
+
+ROWS, REJECTED = "_rows", "_rejected"
+
+
+def staged_metrics(counted: DataFrame, spec: TableSpec) -> DataFrame:
+    """The same as ``load_metrics``, from a table of one row per key (NULL too) that carries its counts."""
+    return _metrics(counted.selectExpr(f"{q(spec.key)} as _k", f"{ROWS} as _n", f"{REJECTED} as _rej"), spec)
+
+
+def _metrics(per_key: DataFrame, spec: TableSpec) -> DataFrame:
     return per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_read"),
         F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0)).alias("null_keys"),

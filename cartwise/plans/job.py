@@ -2,7 +2,7 @@
 
 Stage 1 cleans the 8 sources once and writes the prepared tables (and the entry-level
 ``cart_items``) as plain Parquet to a staging folder on shared storage; stage 2 computes every
-report from those files. Reports never repeat the scan, coercion and de-duplication, lineage is
+report from those files, several at once. Reports never repeat the scan, coercion and de-duplication, lineage is
 cut at the staging boundary, and a lost executor repeats only tasks of the current stage. The staged
 tables are not bucketed: every wide operator then has an exchange whose skewed partitions AQE
 can split, and the number of files follows the data.
@@ -13,12 +13,14 @@ session. Folders and the input's size are arguments.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.metrics import load_metrics, table_counts
+from ..operators.metrics import staged_metrics, table_counts
 from ..operators.pairs import basket_products
 from ..session import SCALE_CONF, shuffle_partitions_for
 from ..sinks import write_lines, write_report
@@ -26,7 +28,7 @@ from ..sources.catalog import load_sources, path_join
 from ..specs import SPECS
 from . import reports
 from .export import top_cart_lines
-from .prepare import prepare_all
+from .prepare import prepare_counted, without_counts
 from .views import cart_enriched, cart_item_summary, cart_items
 
 # Report names (output folder names), and whether a report is small enough for one file.
@@ -40,6 +42,7 @@ REPORTS = {
     "relatorio_diario": False,
 }
 EXPORT_NAME = "top_50_carrinhos.txt"
+AT_ONCE = 4  # reports (or tables) that run side by side
 METRICS = ("rows_read", "null_keys", "duplicates", "rejected_values", "rows_kept")
 
 
@@ -48,9 +51,34 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_prepared(prepared: Mapping[str, DataFrame], stage_dir: str) -> dict[str, DataFrame]:
-    """Write each prepared table, then ``cart_items``, once."""
-    out = {name: _stage(df, path_join(stage_dir, name)) for name, df in prepared.items()}
+def together(spark: SparkSession, work: Mapping[str, Callable[[], object]], at_once: int = AT_ONCE) -> dict[str, object]:
+    """Run independent pieces of work from ``at_once`` threads, each in a scheduler pool of its name, so that the last tasks
+    of one and the planning of the next leave no cores idle. If any fails, the others end and the first to fail, in
+    the order given, is raised under its name."""
+
+    def run(name: str) -> object:
+        context = getattr(spark, "_sc", None)  # a Spark Connect session has none
+        if context is not None:
+            context.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return work[name]()
+        finally:
+            if context is not None:
+                context.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(work)))) as pool:
+        running = {name: pool.submit(run, name) for name in work}
+    for name, job in running.items():
+        if job.exception() is not None:
+            raise RuntimeError(f"{name} failed: {job.exception()}") from job.exception()
+    return {name: job.result() for name, job in running.items()}
+
+
+def stage_prepared(raw: Mapping[str, DataFrame], stage_dir: str) -> dict[str, DataFrame]:
+    """Clean and write each source once (with its counts per key), then ``cart_items``. Returns the prepared tables."""
+    spark = next(iter(raw.values())).sparkSession
+    counted = together(spark, {name: lambda n=name: _stage(prepare_counted(raw[n], SPECS[n]), path_join(stage_dir, n)) for name in raw})
+    out = {name: without_counts(df, SPECS[name]) for name, df in counted.items()}
     out["cart_items"] = _stage(cart_items(out["tb_cartentries"]), path_join(stage_dir, "cart_items"))
     return out
 
@@ -74,9 +102,9 @@ def build_reports(
     rollup = cart_enriched(prepared, items, need=reports.ROLLUP_NEED)
     baskets = items
     if stage_dir is not None:
-        stats = _stage(stats, path_join(stage_dir, "product_month_stats"))
-        rollup = _stage(rollup, path_join(stage_dir, "cart_rollup"))
-        baskets = _stage(basket_products(items), path_join(stage_dir, "basket_products"))
+        shared = {"product_month_stats": stats, "cart_rollup": rollup, "basket_products": basket_products(items)}
+        written = together(items.sparkSession, {name: lambda n=name: _stage(shared[n], path_join(stage_dir, n)) for name in shared})
+        stats, rollup, baskets = written.values()
     frames = (
         reports.top_products(items, n),
         reports.top_pairs(baskets, n, materialize=stage_dir is None),
@@ -96,10 +124,12 @@ def run_reports(
     items: DataFrame | None = None,
     stage_dir: str | None = None,
 ) -> None:
+    """The reports and the export, written side by side."""
     items = items if items is not None else cart_items(prepared["tb_cartentries"])
-    for name, df in build_reports(prepared, items, n, stage_dir).items():
-        write_report(df, path_join(output_dir, f"{name}.csv"), single_file=REPORTS[name])
-    write_lines(top_cart_lines(prepared, items, n), path_join(output_dir, EXPORT_NAME))
+    frames = build_reports(prepared, items, n, stage_dir)
+    work = {name: lambda r=name: write_report(frames[r], path_join(output_dir, f"{r}.csv"), single_file=REPORTS[r]) for name in frames}
+    work[EXPORT_NAME] = lambda: write_lines(top_cart_lines(prepared, items, n), path_join(output_dir, EXPORT_NAME))
+    together(items.sparkSession, work)
 
 
 def prepare_to(
@@ -111,18 +141,25 @@ def prepare_to(
 ) -> dict[str, dict[str, int]]:
     """Load the 8 sources, clean them and write them (plus ``cart_items``) to ``stage_dir``.
 
-    With ``metrics``, returns per table rows_read, null_keys, duplicates, rejected_values and rows_kept as an
-    aggregate over the sources: exact also when executors are lost and tasks run again.
+    With ``metrics``, returns per table rows_read, null_keys, duplicates, rejected_values and rows_kept: sums over the
+    counts per key that the written tables carry, so each source is read once, and exact also when
+    executors are lost and tasks run again.
     """
     raw = raw_tables if raw_tables is not None else load_sources(spark, data_dir)
-    stage_prepared(prepare_all(raw), stage_dir)
+    stage_prepared(raw, stage_dir)
     if not metrics:
         return {}
-    return {name: {m: row[m] for m in METRICS} for name in raw for row in load_metrics(raw[name], SPECS[name]).collect()}  # a row each
+    rows = reduce(DataFrame.unionByName, [staged_metrics(_counted(spark, stage_dir, name), SPECS[name]) for name in raw]).collect()  # a row each
+    return {r["table_name"]: {m: r[m] for m in METRICS} for r in rows}
+
+
+def _counted(spark: SparkSession, stage_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(path_join(stage_dir, name))
 
 
 def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(path_join(stage_dir, name)) for name in (*SPECS, "cart_items")}
+    tables = {name: without_counts(_counted(spark, stage_dir, name), SPECS[name]) for name in SPECS}
+    return tables | {"cart_items": _counted(spark, stage_dir, "cart_items")}
 
 
 def reports_from(spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50, register: bool = False) -> None:

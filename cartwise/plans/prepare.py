@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.coerce import coerce_frame
+from ..functions.coerce import COERCED, coerce_frame, q, with_coerced
 from ..operators.dedup import dedup_by_key
+from ..operators.metrics import REJECTED, ROWS, rejected_sql
 from ..specs import SPECS, TableSpec
 
 
@@ -21,6 +23,19 @@ def prepare(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return dedup_by_key(coerce_frame(raw, spec), spec.key)
 
 
+def prepare_counted(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """As ``prepare``, but with the row of the NULL key, and with each key's number of rows and of rejected values: the load
+    metrics are sums over it, so the source is read once for both."""
+    both = with_coerced(raw, spec).selectExpr(*[f"{q(COERCED + n)} as {q(n)}" for n in spec.normalized], f"{rejected_sql(spec)} as _rej")
+    counts = (F.count(F.lit(1)).alias(ROWS), F.sum("_rej").alias(REJECTED))
+    return dedup_by_key(both, spec.key, drop_null_keys=False, extra=counts, measures=("_rej",))
+
+
+def without_counts(counted: DataFrame, spec: TableSpec) -> DataFrame:
+    """The prepared table in ``prepare_counted``'s result."""
+    return counted.where(F.col(spec.key).isNotNull()).select(*spec.normalized)
+
+
 class LazyTables(Mapping):
     """Name -> DataFrame, each built on first access (plans only, nothing runs).
 

@@ -249,6 +249,18 @@ def q_source_files(spark, sf_dir):
     return out
 
 
+def _numbered(lines: DataFrame, skip: int) -> DataFrame:
+    """(position, line): a report's lines with their place in it, over part files in name order, each without its first
+    ``skip`` lines. Lines are numbered within their file, and the numbers of lines of the files before it are added."""
+    at = F.row_number().over(Window.partitionBy("file_name").orderBy("at"))
+    within = lines.select("file_name", (at - skip).cast("bigint").alias("no"), F.col("value").alias("line")).where("no > 0")
+    sizes = lines.groupBy("file_name").agg((F.count("*") - skip).alias("n"))
+    every = sizes.agg(F.collect_list(F.struct("file_name", "n"))).scalar()  # a pair per part file
+    before = F.aggregate(F.filter("every", lambda f: f["file_name"] < F.col("file_name")), F.lit(0).cast("bigint"), lambda a, f: a + f["n"])
+    starts = sizes.select("file_name", every.alias("every")).select("file_name", before.alias("before"))
+    return within.join(starts, "file_name").select((F.col("before") + F.col("no")).alias("position"), "line")
+
+
 def q_report_files(spark, sf_dir):
     """The whole job on files: every line of the seven reports and of the export with its place in the output."""
     base = scratch_path(spark, "report-files")
@@ -257,11 +269,7 @@ def q_report_files(spark, sf_dir):
     out = None
     for name in (*(f"{r}.csv" for r in REPORTS), EXPORT_NAME):
         lines = spark.read.text(f"{base}/out/{name}").select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
-        head = Window.partitionBy("file_name").orderBy("at")
-        if name != EXPORT_NAME:  # the header line of each part file
-            lines = lines.withColumn("no", F.row_number().over(head)).where("no > 1").drop("no")
-        place = F.row_number().over(Window.partitionBy(F.lit(name)).orderBy("file_name", "at")).cast("bigint")
-        part = lines.select(F.lit(name).alias("report"), place.alias("position"), F.col("value").alias("line"))
+        part = _numbered(lines, 0 if name == EXPORT_NAME else 1).select(F.lit(name).alias("report"), "position", "line")  # a header line each
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -273,7 +281,7 @@ def q_stream_ingest(spark, sf_dir):
     spec = SPECS["tb_cartentries"]
     base = scratch_path(spark, "stream-ingest")
     for i, arrival in enumerate(_arrivals(spark, sf_dir)):
-        arrival.repartition(4, "pk").write.parquet(f"{base}/incoming/{i:04d}")
+        arrival.write.parquet(f"{base}/incoming/{i:04d}")
         start_ingest(spark, f"{base}/incoming/*", arrival.schema, spec, f"{base}/target", f"{base}/_checkpoint").awaitTermination()
     return canon(stored_table(spark, f"{base}/target", spec))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+NULL_SPREAD = 1024
 ENRICHED_COLUMNS = (
     "cart_id", "created_ts", "cart_date", "month", "cart_total_price", "user_uid", "payment_mode_code",
     "installments", "site_name", "postal_code", "state", "item_quantity_sum", "item_count",
@@ -34,6 +35,14 @@ def cart_item_summary(items: DataFrame) -> DataFrame:
     )
 
 
+def _lookup(rows: DataFrame, table: DataFrame, fk: str, row_key: str) -> DataFrame:
+    """Left join on a foreign key that may be NULL in many rows. Those match nothing; a second key, 0 where there is a foreign
+    key, deals them over ``NULL_SPREAD`` values by their row's own key, so that they do not meet in one partition."""
+    own = F.when(F.col(fk).isNull(), F.pmod(F.xxhash64(row_key), F.lit(NULL_SPREAD)) + 1).otherwise(0).cast("int")
+    there = F.pmod(F.xxhash64(fk), F.lit(1)).cast("int")  # 0; a constant would be taken out of the join's keys
+    return rows.withColumn("_spread", own).join(table.withColumn("_spread", there), [fk, "_spread"], "left").drop("_spread")
+
+
 def cart_enriched(
     prepared: Mapping[str, DataFrame],
     items: DataFrame | None = None,
@@ -69,16 +78,15 @@ def cart_enriched(
     ]
     for col_name, table, key, fk, val in lookups:
         if col_name in need:
-            d = prepared[table].selectExpr(f"{key} as {fk}", f"{val} as {col_name}")
-            out = out.join(d, fk, "left")
+            out = _lookup(out, prepared[table].selectExpr(f"{key} as {fk}", f"{val} as {col_name}"), fk, "cart_id")
     if need & {"postal_code", "state"}:
         a = prepared["tb_addresses"].selectExpr(
             "pk as p_paymentaddress", "nullif(p_postalcode, 'nan') as postal_code", "p_region"
         )
         if "state" in need:
             r = prepared["tb_regions"].selectExpr("pk as p_region", "p_isocodeshort as state")
-            a = a.join(r, "p_region", "left")
-        out = out.join(a, "p_paymentaddress", "left")
+            a = _lookup(a, r, "p_region", "p_paymentaddress")
+        out = _lookup(out, a, "p_paymentaddress", "cart_id")
     exprs = {
         "item_quantity_sum": "coalesce(item_quantity_sum, cast(0 as decimal(28,4))) as item_quantity_sum",
         "item_count": "coalesce(item_count, cast(0 as bigint)) as item_count",

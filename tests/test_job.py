@@ -121,3 +121,58 @@ def test_staged_pairs_keep_a_splittable_exchange(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange hashpartitioning(_basket" in plan and "Join" not in plan and "Bucketed: true" not in plan
+
+
+def test_sources_are_scanned_once_for_tables_and_metrics(spark, tmp_path):
+    """The staged table carries its counts per key; metrics read it and not the source."""
+    from cartwise.operators.metrics import load_metrics, staged_metrics
+    from cartwise.plans.job import prepare_to, staged_tables
+    from cartwise.plans.prepare import prepare, prepare_counted
+    from cartwise.specs import SPECS
+
+    spec = SPECS["tb_users"]
+    source, stage = str(tmp_path / "source"), str(tmp_path / "stage")
+    rows = [("1", "a"), ("1", "b"), ("1.0", "a"), ("x", "c"), (None, "d"), ("2", None), ("3", "e")]
+    spark.createDataFrame(rows, "pk string, p_uid string").write.parquet(source)
+    raw = spark.read.parquet(source)
+    got = prepare_to(spark, None, stage, {**driver.source_tables(spark, SF_SMALL), "tb_users": raw})["tb_users"]
+    assert got == {"rows_read": 7, "null_keys": 2, "duplicates": 2, "rejected_values": 1, "rows_kept": 3}
+    assert load_metrics(raw, spec).first().asDict() == {"table_name": "tb_users", **got}
+    users = staged_tables(spark, stage)["tb_users"]
+    assert users.columns == list(spec.normalized) and sorted(map(tuple, users.collect()), key=repr) == sorted(map(tuple, prepare(raw, spec).collect()), key=repr)
+    plan = prepare_counted(raw, spec)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    read = staged_metrics(spark.read.parquet(f"{stage}/tb_users"), spec)
+    assert read.inputFiles() and all(f"{stage}/tb_users" in f for f in read.inputFiles())
+
+
+def test_work_runs_side_by_side_and_fails_by_name(spark):
+    import threading
+
+    import pytest
+
+    from cartwise.plans.job import together
+
+    meet = threading.Barrier(3, timeout=30)  # passes only if three are under way at once
+    assert together(spark, {str(i): lambda i=i: (meet.wait(), i)[1] for i in range(3)}) == {"0": 0, "1": 1, "2": 2}
+    ended = []
+
+    def broken():
+        raise ValueError("no such column")
+
+    with pytest.raises(RuntimeError, match="daily failed: no such column"):
+        together(spark, {"by_state": lambda: ended.append(1), "daily": broken, "top": lambda: ended.append(2)})
+    assert sorted(ended) == [1, 2]
+
+
+def test_report_lines_are_numbered_without_one_window(spark, tmp_path):
+    from cartwise.plans.suite import _numbered
+    from pyspark.sql import functions as F
+
+    for i, lines in enumerate((["h", "a", "b"], ["h"], ["h", "c"])):
+        (tmp_path / f"part-{i}.csv").write_text("\n".join(lines) + "\n")
+    lines = spark.read.text(str(tmp_path)).select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+    out = _numbered(lines, 1)
+    assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "b"), (3, "c")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(file_name" in plan.replace("#", " ").replace("file_name ", "file_name", 1) and plan.count("Window [") == 1
