@@ -33,8 +33,13 @@ BLOCK = 1 << 16
 RUN = 1024
 
 
-def token_type(end_id: int) -> str:
-    return "<u2" if end_id < 1 << 16 else "<u4"
+def token_type(largest_id: int) -> str:
+    """The width of a stream whose ids go up to ``largest_id``."""
+    return "<u2" if largest_id < 1 << 16 else "<u4"
+
+
+def stream_type(model: Bpe, end_id: int) -> str:
+    return token_type(max(end_id, model.size - 1))
 
 
 def write_stream(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc_id", text: str = "text",
@@ -49,7 +54,7 @@ def write_stream(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc
     id_type = T.ArrayType(given.schema["id"].dataType)
     schema = T.StructType([T.StructField("file", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("tokens", T.BinaryType()),
                            T.StructField("first", T.LongType()), T.StructField("ids", id_type)])
-    kind = token_type(max(end_id, model.size - 1))
+    kind = stream_type(model, end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, file = Encoder(shared.value, use_special=False), TaskContext.get().partitionId()
@@ -80,13 +85,13 @@ def write_stream(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc
     return stored(given.mapInArrow(run, schema), "token-stream")
 
 
-def read_files(spark: SparkSession, path: str, end_id: int, block: int = BLOCK) -> DataFrame:
-    """(file, block, tokens) of raw token files; ``file`` numbers the paths in order. A file is one row of
-    Spark's binary reader, so at most 2 GB; longer streams are written in several files."""
+def read_files(spark: SparkSession, path: str, end_id: int, block: int = BLOCK, kind: str | None = None) -> DataFrame:
+    """(file, block, tokens) of raw token files; ``file`` numbers the paths in order. ``kind`` ('<u2' or '<u4') is as for
+    ``find_separators``. A file is one row of Spark's binary reader, so at most 2 GB; longer streams are written in several files."""
     ship(spark)
     paths = spark.read.format("binaryFile").load(path).select("path")
     number = {r["path"]: i for i, r in enumerate(paths.orderBy("path").collect())}  # file names
-    width = np.dtype(token_type(end_id)).itemsize * block
+    width = np.dtype(kind or token_type(end_id)).itemsize * block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,10 +105,11 @@ def read_files(spark: SparkSession, path: str, end_id: int, block: int = BLOCK)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file int, block long, tokens binary")
 
 
-def find_separators(blocks: DataFrame, end_id: int) -> DataFrame:
-    """(file, block, size, at): each block's number of tokens and its separators' places."""
+def find_separators(blocks: DataFrame, end_id: int, kind: str | None = None) -> DataFrame:
+    """(file, block, size, at): each block's number of tokens and its separators' places. ``kind`` is the type of the stream's
+    ids, which whoever wrote the stream knows: the separator need not be the largest id. Without it, it is taken to be."""
     ship(blocks.sparkSession)
-    kind = token_type(end_id)
+    kind = kind or token_type(end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -146,15 +152,15 @@ def stitch(found: DataFrame) -> DataFrame:
     return docs.unionByName(tail)
 
 
-def count_tokens(blocks: DataFrame, end_id: int) -> DataFrame:
-    """One row per document of the streams in ``blocks`` (file, block, tokens)."""
-    return stitch(stored(find_separators(blocks, end_id), "separators"))
+def count_tokens(blocks: DataFrame, end_id: int, kind: str | None = None) -> DataFrame:
+    """One row per document of the streams in ``blocks`` (file, block, tokens); ``kind`` as for ``find_separators``."""
+    return stitch(stored(find_separators(blocks, end_id, kind), "separators"))
 
 
 def document_tokens(docs: DataFrame, model: Bpe, end_id: int, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, file, ordinal, start and n_tokens of every document, counted in the streams written from them."""
     stream = write_stream(docs, model, end_id, doc_id=doc_id, text=text)
-    counted = count_tokens(stream.where("tokens is not null").select("file", "block", "tokens"), end_id)
+    counted = count_tokens(stream.where("tokens is not null").select("file", "block", "tokens"), end_id, stream_type(model, end_id))
     listed = stream.where("ids is not null").select("file", "first", F.posexplode("ids").alias("i", doc_id))
     listed = listed.select("file", (F.col("first") + F.col("i")).alias("ordinal"), doc_id)
     return counted.join(listed, ["file", "ordinal"]).select(doc_id, "file", "ordinal", "start", "n_tokens")

@@ -101,3 +101,17 @@ def test_separator_scan_against_brute_force(spark, tmp_path, monkeypatch, run):
     blocks = separators.read_files(spark, str(tmp_path), 50_256, block=32)
     assert blocks.count() == 3 * 22
     assert sorted_rows(separators.count_tokens(blocks, 50_256), "file", "ordinal", "start", "n_tokens", "ended") == sorted(want, key=repr)
+
+
+def test_streams_wider_than_the_separator(spark, model, tmp_path):
+    """Ids beyond 16 bits with a separator below them: the stream's width is the vocabulary's, not the separator's."""
+    wide = bpe.Bpe(model.vocab, [tuple(model.vocab[t] for t in (b"t", b"h", b"th"))], {"<far>": 70_000})
+    end = model.vocab[b"~"]
+    texts = ["abc", "", "h\u00e9llo", "x" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = separators.document_tokens(docs, wide, end)
+    assert sorted_rows(got, "doc_id", "n_tokens") == [(i, len(t.encode())) for i, t in enumerate(texts)]
+    tokens = np.array([70_000, 5, end, 66_000, end + (1 << 16), end, 7], "<u4")
+    tokens.tofile(tmp_path / "0.bin")
+    blocks = separators.read_files(spark, str(tmp_path), end, block=2, kind="<u4")
+    assert sorted_rows(separators.count_tokens(blocks, end, "<u4"), "start", "n_tokens", "ended") == [(0, 2, True), (3, 2, True), (6, 1, False)]
