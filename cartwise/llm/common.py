@@ -97,7 +97,12 @@ def ship(spark: SparkSession) -> None:
     sc._cartwise_shipped = True
 
 
+def fits(df: DataFrame, rows: int) -> bool:
+    """Whether the (small or already stored) table has at most ``rows`` rows."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``rows`` rows; otherwise unchanged, so that
     the join shuffles. Counts the (small or already stored) table once."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if fits(df, rows) else df

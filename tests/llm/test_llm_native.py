@@ -129,6 +129,53 @@ def test_proximity_finds_a_shifted_pair(spark):
     assert [(r["start"], abs(r["shift"])) for r in decontaminate.proximity(index, tests, 2).collect()] in ([(0, 1)], [(1, 1)])
 
 
+def _in_order(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b, 1):
+            new.append(row[j - 1] + 1 if x == y else max(row[j], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_common_in_order_by_the_textbook(spark):
+    rng = random.Random(17)
+    rows = [([rng.choice("abcd") for _ in range(rng.randint(0, 12))], [rng.choice("abcd") for _ in range(rng.randint(1, 10))]) for _ in range(200)]
+    got = spark.createDataFrame(rows, "a array<string>, b array<string>").select("a", "b", decontaminate.common_in_order(F.col("a"), F.col("b")).alias("n"))
+    assert all(r["n"] == _in_order(r["a"], r["b"]) for r in got.collect())
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_near_copies_of_test_items(spark, monkeypatch, broadcast):
+    """A passage with a word inserted, left out or replaced at least every tenth word has no exact window but is near; other texts
+    with the same words are not. Both plans give the same."""
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "MAX_BROADCAST_WINDOWS", 1)
+    rng = random.Random(16)
+    vocabulary = [f"w{i}" for i in range(400)]
+    item = rng.sample(vocabulary, 30)
+    inserted, dropped, replaced = item[:], item[:], item[:]
+    for at in (24, 16, 8):
+        inserted.insert(at, "extra")
+        del dropped[at]
+        replaced[at] = "other"
+    noise = [rng.choice(vocabulary) for _ in range(300)]
+    shuffled = item[:]
+    rng.shuffle(shuffled)
+    texts = [noise[:20] + x + noise[20:40] for x in (inserted, dropped, replaced, item, shuffled)] + [noise, item[:5], []]
+    docs = frame(spark, [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]).repartition(2)
+    benchmark = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(rng.sample(vocabulary, 30))), (9, "w1 w2")], "item_id long, text string")
+    out = decontaminate.report(docs, benchmark)
+    no_python(out)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert [got[i]["n_hit"] > 0 for i in range(8)] == [False, False, False, True, False, False, False, False]
+    assert [got[i]["n_near"] for i in range(8)] == [1, 1, 1, 0, 0, 0, 0, 0]
+    assert got[0]["near_items_sha256"] == hashlib.sha256(b"7").hexdigest() and got[3]["near_items_sha256"] == hashlib.sha256(b"").hexdigest()
+    left = lambda **kw: sorted(r["doc_id"] for r in decontaminate.clean(docs, benchmark, **kw).collect())
+    assert left() == [0, 1, 2, 4, 5, 6, 7] and left(drop_near=True) == [4, 5, 6, 7]
+
+
 def test_license_scan(spark):
     mit = license_scan.NOTICES[6].text
     extra = [(50, "Released under the MIT License. MIT license mit LICENSE", "en"), (51, "CC BY-NC 4.0, cc by", "en"), (52, "x " * 30 + mit, "en"),
