@@ -1,14 +1,17 @@
 """PII: detected entities get keyed surrogates of the same type, format and script.
 
 Detection: one regular expression over the whole text finds e-mail and IP addresses, phone, card and
-social security numbers, IBANs, hexadecimal and prefixed secrets, and names after a title. The text between the
-matches is untouched.
+social security numbers, IBANs, hexadecimal and prefixed secrets, and names after one or more titles: any number of
+capitalised parts, with hyphens, apostrophes, inner capitals, initials and particles (von, de la). Once a name is
+found, its parts are replaced wherever they stand as capitalised words of the same document, with or without a title.
+Other text between the matches is untouched.
 
 Surrogates: an entity's *canonical* form (lower-cased letters and digits) and type are hashed with the key
 (SHA-256); each character is replaced, by its place, with one of its class: digits by digits, vowels by
 vowels and consonants by consonants of the same script (Latin plain and accented, Greek, Cyrillic; other scripts
-within their block), hexadecimal by hexadecimal. Parts of IP addresses keep their length and stay valid; names
-keep their title and each part's last letter, which carry the gender; the top-level domain stays. A
+within their block), hexadecimal by hexadecimal. Parts of IP addresses keep their length and stay valid; the
+top-level domain stays. Each part of a name is an entity by itself, so a full name, a surname and a hyphenated one agree; titles,
+particles and each part's last letter stay, which carry the gender. A
 mention takes the surrogate's characters into its own punctuation and letter case, so all mentions of an entity agree in
 every document (coreference).
 
@@ -31,6 +34,11 @@ MAX_ATTEMPTS = 20
 LONGER = 8
 MAX_BROADCAST_ROWS = 100_000
 
+# Titles before names, and lower-case words inside them.
+TITLES = ("Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Monsieur|Madame|Sr|Sra|Señor|Señora|Dr|Doktor|Docteur|Doctor|Prof|Professor")
+PARTICLES = "von|van|der|den|dem|de|la|las|los|le|du|del|della|di|da|dos|zu|zur|bin|al|y"
+_PART = r"(?:\p{Lu}(?:\p{L}|['’-](?=\p{L}))+|\p{Lu}\.(?= \p{Lu}))"
+
 _EDGE, _END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 # (type, pattern) in the order of preference at one place.
 PATTERNS: tuple[tuple[str, str], ...] = (
@@ -40,15 +48,18 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("ssn", r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)"),
     ("phone", r"(?<!\d)(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"),
     ("phone", r"(?<!\d)\+\d(?:[ .-]?\d){7,14}(?!\d)"),
-    ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"),
+    ("card", r"(?<!\d)(?:\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})(?!\d)"),  # whole groups
+    ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?![ -]?\d)"),
     ("secret", _EDGE + r"(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})" + _END),
     ("key", _EDGE + r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})" + _END),
-    ("name", _EDGE + r"(?:Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Monsieur|Madame|Sr|Sra|Señor|Señora)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"),
+    ("name", _EDGE + rf"(?:(?:{TITLES})\.? )+{_PART}(?: (?:(?:{PARTICLES}) ){{0,3}}{_PART})*" + _END),
 )
 ANY = "|".join(f"(?:{p})" for _, p in PATTERNS)
 # What every match holds: a digit or @, the start of a prefixed secret, a run of hexadecimal letters, or a title.
-HINTS = ("[0-9@]", r"AKIA|gh[pousr]_|sk-|[a-f]{32}|[A-F]{32}|(?:M[rsmlioa]|Herr|Frau|S[re])\p{L}*+\.? \p{Lu}")
-TITLE = r"^\p{L}+\.? "
+HINTS = ("[0-9@]", r"AKIA|gh[pousr]_|sk-|[a-f]{32}|[A-F]{32}|(?:M[rsmlioa]|Herr|Frau|S[re]|Dr|Do[ck]t|Prof)\p{L}*+\.? \p{Lu}")
+TITLE = rf"^(?:(?:{TITLES})\.? )+"
+TOKEN = r"\p{L}+|[^\p{L}]+"  # a text in words and what is between them
+CAPITAL = r"^\p{Lu}"
 
 # The characters that may stand for one of the same class.
 CLASSES = (
@@ -66,11 +77,17 @@ def kind_of(mention: Column) -> Column:
 
 
 def canonical(kind: Column, mention: Column) -> Column:
-    """Lower-cased letters and digits of the mention: what its surrogate depends on. Types whose parts
-    matter (addresses and names) keep one separator between them."""
+    """Lower-cased letters and digits of the mention (not a name): what its surrogate depends on. Addresses, whose parts
+    matter, keep one separator between them."""
     low = F.lower(mention)
-    parts = F.regexp_replace(F.when(kind == "name", F.regexp_replace(low, TITLE, "")).otherwise(low), r"[^\p{L}\p{N}@]+", ".")
-    return F.when(kind.isin("email", "ip", "name"), parts).otherwise(F.regexp_replace(low, r"[^\p{L}\p{N}]+", ""))
+    parts = F.regexp_replace(low, r"[^\p{L}\p{N}@]+", ".")
+    return F.when(kind.isin("email", "ip"), parts).otherwise(F.regexp_replace(low, r"[^\p{L}\p{N}]+", ""))
+
+
+def name_parts(mention: Column) -> Column:
+    """The lower-cased capitalised words of a name after its titles; initials, as in J. or O', are none."""
+    found = F.regexp_extract_all(F.regexp_replace(mention, TITLE, ""), F.lit(r"\p{L}+"), F.lit(0))
+    return F.transform(F.filter(found, lambda t: F.rlike(t, F.lit(CAPITAL)) & (F.char_length(t) > 1)), F.lower)
 
 
 def _chars(text: Column) -> Column:
@@ -122,9 +139,7 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
 
 
 def render(kind: Column, mention: Column, canon: Column) -> Column:
-    """The surrogate's letters and digits in the mention's punctuation and letter case."""
-    title = F.when(kind == "name", F.regexp_extract(mention, TITLE, 0)).otherwise("")
-    body = F.substring(mention, F.char_length(title) + 1, F.char_length(mention))
+    """The surrogate's letters and digits in the punctuation and letter case of the mention (or one part of a name)."""
     letters = _chars(F.regexp_replace(canon, r"[^\p{L}\p{N}]+", ""))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("k"))
 
@@ -137,7 +152,7 @@ def render(kind: Column, mention: Column, canon: Column) -> Column:
     def finish(acc: Column) -> Column:  # a lengthened surrogate has letters left
         return F.concat(acc["out"], F.array_join(F.slice(letters, acc["k"] + 1, F.size(letters)), ""))
 
-    return F.when(kind == "ip", canon).otherwise(F.concat(title, F.aggregate(_chars(body), start, step, finish)))
+    return F.when(kind == "ip", canon).otherwise(F.aggregate(_chars(mention), start, step, finish))
 
 
 def mentions(text: Column) -> Column:
@@ -147,10 +162,12 @@ def mentions(text: Column) -> Column:
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(rid, kind, canon, n): the distinct entities of each row (numbered along the scan) with their mentions."""
+    """(rid, kind, canon, n): the distinct entities (parts of names each) of each row (numbered along the scan) with their mentions."""
     found = docs.select(F.monotonically_increasing_id().alias("rid"), mentions(column(text)).alias("m"))
     found = found.where(F.size("m") > 0).select("rid", F.explode("m").alias("m")).select("rid", "m", kind_of(F.col("m")).alias("kind"))
-    return found.groupBy("rid", "kind", canonical(F.col("kind"), F.col("m")).alias("canon")).agg(F.count("*").alias("n"))
+    kind, m = F.col("kind"), F.col("m")
+    canons = F.when(kind == "name", name_parts(m)).otherwise(F.array(canonical(kind, m)))
+    return found.select("rid", "kind", F.explode(canons).alias("canon")).groupBy("rid", "kind", "canon").agg(F.count("*").alias("n"))
 
 
 def assign(distinct: DataFrame, key: str) -> DataFrame:
@@ -193,15 +210,37 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", count: str |
     some = F.size("_m") > 0
     rows = rows.withColumn("_gaps", F.when(some, F.split(F.col("_text"), ANY, -1)))
     typed = F.transform("_m", lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    rows = rows.withColumn("_m", F.transform(typed, lambda x: F.struct(x["m"].alias("m"), x["kind"].alias("kind"), canonical(x["kind"], x["m"]).alias("canon"))))
+    rows = rows.withColumn("_m", F.transform(typed, lambda x: F.struct(
+        x["m"].alias("m"), x["kind"].alias("kind"), F.when(x["kind"] != "name", canonical(x["kind"], x["m"])).alias("canon"))))
+    names = F.array_distinct(F.flatten(F.transform(F.filter("_m", lambda x: x["kind"] == "name"), lambda x: name_parts(x["m"]))))
+    rows = rows.withColumn("_names", names)
     none = F.lit(None).cast("string")
 
+    def fake(kind: Column, canon: Column) -> Column:
+        special = F.when(F.col("_odd").isNull(), none).otherwise(F.element_at("_odd", F.concat_ws("\n", kind, canon)))
+        return F.coalesce(special, surrogate(kind, canon, F.lit(0), key))
+
+    def renamed(part: Column) -> Column:
+        """A stretch of text with its capitalised words that are parts of the document's names replaced."""
+        def word(t: Column) -> Column:
+            mine = F.rlike(t, F.lit(CAPITAL)) & F.array_contains("_names", F.lower(t))
+            return F.when(mine, render(F.lit("name"), t, fake(F.lit("name"), F.lower(t)))).otherwise(t)
+
+        return F.array_join(F.transform(F.regexp_extract_all(part, F.lit(TOKEN), F.lit(0)), word), "")
+
+    # a name without its titles is text with known parts, as untitled mentions are
+    title = lambda x: F.when(x["kind"] == "name", F.regexp_extract(x["m"], TITLE, 0)).otherwise("")
+    has_names = F.size("_names") > 0
+
+    def plain(part: Column) -> Column:
+        return F.when(has_names, renamed(part)).otherwise(part)
+
     def swap(x: Column, i: Column) -> Column:
-        special = F.when(F.col("_odd").isNull(), none).otherwise(F.element_at("_odd", F.concat_ws("\n", x["kind"], x["canon"])))
-        fake = F.coalesce(special, surrogate(x["kind"], x["canon"], F.lit(0), key))
-        return F.concat(render(x["kind"], x["m"], fake), F.get(F.col("_gaps"), i + 1))
+        body = F.substring(x["m"], F.char_length(title(x)) + 1, F.char_length(x["m"]))
+        new = F.when(x["kind"] == "name", F.concat(title(x), renamed(body))).otherwise(render(x["kind"], x["m"], fake(x["kind"], x["canon"])))
+        return F.concat(new, plain(F.get(F.col("_gaps"), i + 1)))
 
-    new = F.when(some, F.concat(F.get(F.col("_gaps"), F.lit(0)), F.array_join(F.transform("_m", swap), ""))).otherwise(F.col("_text"))
+    new = F.when(some, F.concat(plain(F.get(F.col("_gaps"), F.lit(0))), F.array_join(F.transform("_m", swap), ""))).otherwise(F.col("_text"))
     extra = [F.greatest(F.size("_m"), F.lit(0)).cast("long").alias(count)] if count else []
     kept = [new.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns if c != count]
     return rows.select(*kept, *extra)

@@ -238,9 +238,38 @@ def test_surrogates(spark):
     assert surrogates.pseudonymise(no_docs(spark), "k").collect() == []
 
 
+NAMED = ["Mrs McDonald left.", "Frau Müller-Lüdenscheidt und Herr Müller", "Mr John Paul Smith here", "Ask Mr O'Brien today", "Dr Jane Roe, Prof. Dr. Ada Roe",
+         "Mr John Smith met John Smith and Mr Smith; Smithsonian smith SMITH", "card 4111 1111 1111 1111 12 items", "Herr Ludwig van Beethoven; Beethoven; J. Smith",
+         "before Roe came Dr Roe", "4111111111111111 and 4111-1111-1111-1111 and 3782 822463 10005", "Mr J. R. Smith’s"]
+
+
+def test_whole_names_and_later_mentions(spark):
+    out = {r["doc_id"]: r["text"] for r in surrogates.pseudonymise(frame(spark, [(i, t, "en", "s", 0) for i, t in enumerate(NAMED)]), "k").collect()}
+    real = "McDonald Donald Müller Lüdenscheidt John Paul Smith SMITH Brien Jane Roe Ada Ludwig Beethoven".split()
+    for i, text in out.items():
+        left = [w for w in real if regex.search(rf"(?<!\p{{L}}){w}(?!\p{{L}})", text)]
+        assert left == (["Smith"] if i == 7 else []), text  # another document's name without a title
+    name = r"\p{Lu}\p{Ll}+"
+    assert regex.fullmatch(r"Mrs \p{Lu}\p{Ll}\p{Lu}\p{Ll}+ left\.", out[0])
+    one, two = regex.fullmatch(rf"Frau ({name})-{name} und Herr ({name})", out[1]).groups()
+    assert one == two and one.endswith("r")
+    assert regex.fullmatch(rf"Mr {name} {name} {name} here", out[2]) and regex.fullmatch(rf"Ask Mr O'{name} today", out[3])
+    jane, roe, ada, again = regex.fullmatch(rf"Dr ({name}) ({name}), Prof\. Dr\. ({name}) ({name})", out[4]).groups()
+    assert roe == again and len({jane, roe, ada}) == 3
+    first, last, a, b, c, d = regex.fullmatch(rf"Mr ({name}) ({name}) met ({name}) ({name}) and Mr ({name}); Smithsonian smith (\p{{Lu}}+)", out[5]).groups()
+    assert (a, b) == (first, last) and c == last and d == last.upper()
+    assert out[2].split()[3] == last and out[6].endswith(" 12 items") and regex.fullmatch(r"card (\d{4} ){4}12 items", out[6]) and "4111" not in out[6]
+    whole, surname = regex.fullmatch(rf"Herr ({name} van {name}); ({name}); J\. Smith", out[7]).groups()
+    assert whole.endswith(" van " + surname)
+    assert regex.fullmatch(rf"before {roe} came Dr {roe}", out[8])
+    plain, dashed, amex = regex.fullmatch(r"(\d{16}) and (\d{4}-\d{4}-\d{4}-\d{4}) and (\d{4} \d{6} \d{5})", out[9]).groups()
+    assert plain == dashed.replace("-", "") != "4" + "1" * 15 and amex != "3782 822463 10005"
+    assert out[10].startswith("Mr ") and out[10].endswith("’s") and last in out[10]
+
+
 def test_every_mention_holds_a_hint():
     hints, find = [regex.compile(h) for h in surrogates.HINTS], regex.compile(surrogates.ANY)
-    titles = "Mr|Mrs|Ms|Miss|Herr|Frau|Mme|Mlle|Monsieur|Madame|Sr|Sra|Señor|Señora".split("|")
+    titles = surrogates.TITLES.split("|")
     texts = [*PEOPLE, *(f"x {t}{dot} Ann Lee" for t in titles for dot in ("", ".")), "abcdef" * 6, "ABCDEF" * 6,
              "ghp_" + "a" * 36, "sk-" + "b" * 20, "AKIA" + "C" * 16]
     for text in texts:
