@@ -23,13 +23,11 @@ unique (token, rule) rows that are broadcast when they are few.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cartwise.llm.common import ascii_lower, column, packed, small, stored
 
@@ -37,11 +35,9 @@ MAX_BROADCAST_RULES = 200_000
 MAX_UNINDEXED_RULES = 100
 TOKEN = "[0-9a-z]+"
 
-RULE_SCHEMA = T.StructType([
-    T.StructField("rule_id", T.LongType()), T.StructField("rule", T.StringType()),
-    T.StructField("pattern", T.StringType()), T.StructField("verdict", T.StringType()),
-    T.StructField("length", T.IntegerType()), T.StructField("literals", T.ArrayType(T.StringType())),
-])
+# A table of rules; see Rule.
+RULE_SCHEMA = "verdict string, host string, path string, pattern string, literals array<string>"
+_MARKS = r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])"  # ASCII characters that a pattern may give a meaning
 
 
 @dataclass(frozen=True)
@@ -87,21 +83,33 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _row(i: int, r: Rule) -> tuple:
-    if r.pattern:
-        return i, r.name, f"(?s){r.pattern}", r.verdict, 0, sorted(set(r.literals))
+def rules_table(spark: SparkSession, rules: Sequence[Rule] | DataFrame, method_rules: Sequence[Rule] | DataFrame = ()) -> DataFrame:
+    """Both kinds of rules, compiled, as one stored table with a ``rule_id``."""
+    def given(r: Sequence[Rule] | DataFrame) -> DataFrame:
+        if isinstance(r, DataFrame):
+            return r
+        return spark.createDataFrame([(x.verdict, x.host, x.path, x.pattern, list(x.literals)) for x in r], RULE_SCHEMA)
+
+    both = compiled(given(rules), False).unionByName(compiled(given(method_rules), True))
+    return stored(both.withColumn("rule_id", F.monotonically_increasing_id()), "url-rules")
+
+
+def compiled(rules: DataFrame, own: bool) -> DataFrame:
+    """(rule, pattern, verdict, length, literals, own) of a table of rules; ``own`` marks the method's."""
+    host, path, given = (F.coalesce(c, F.lit("")) for c in ("host", "path", "pattern"))
+    low = F.lower(host)
     # over host and path: the host or a subdomain of it (hosts hold no slash), then the path prefix
-    host, path = r.host.lower(), r.path
-    pattern = rf"(?s)^([^/]*\.)?{re.escape(host)}" + (re.escape(path) if path else r"(/|\z)")
-    literals = re.findall(TOKEN, host)
+    quoted = [F.regexp_replace(x, _MARKS, r"\\$1") for x in (low, path)]
+    fits = F.concat(F.lit(r"(?s)^([^/]*\.)?"), quoted[0], F.when(path == "", F.lit(r"(/|\z)")).otherwise(quoted[1]))
     # path tokens count as literals where they cannot go on: before a separator. Tokens are taken from the
     # lower-cased URL, so those of the path are lower-cased here as well.
-    literals += [m.group(1) for m in re.finditer(r"([0-9a-z]+)(?=[^0-9a-z])", path.lower())]
-    return i, r.name, pattern, r.verdict, len(host) + len(path), sorted(set(literals))
-
-
-def rules_table(spark, rules: Sequence[Rule]) -> DataFrame:
-    return spark.createDataFrame([_row(i, r) for i, r in enumerate(rules)], RULE_SCHEMA)
+    tokens = F.concat(F.regexp_extract_all(low, F.lit(f"({TOKEN})"), F.lit(1)),
+                      F.regexp_extract_all(F.lower(path), F.lit("([0-9a-z]+)(?=[^0-9a-z])"), F.lit(1)))
+    free = given != ""
+    return rules.select(
+        F.when(host != "", F.concat(host, path)).otherwise(given).alias("rule"), F.when(free, F.concat(F.lit("(?s)"), given)).otherwise(fits).alias("pattern"),
+        "verdict", F.when(free, 0).otherwise(F.char_length(host) + F.char_length(path)).alias("length"),
+        F.array_sort(F.array_distinct(F.when(free, F.coalesce("literals", F.array().cast("array<string>"))).otherwise(tokens))).alias("literals"), F.lit(own).alias("own"))
 
 
 def _tokens(url: Column) -> Column:
@@ -127,7 +135,7 @@ def candidates(urls: DataFrame, indexed: DataFrame) -> DataFrame:
     without = indexed.where(F.col("token").isNull())
     if without.limit(MAX_UNINDEXED_RULES + 1).count() > MAX_UNINDEXED_RULES:
         raise ValueError(f"more than {MAX_UNINDEXED_RULES} rules have no literal token; give them literals")
-    cols = ["rule_id", "rule", "pattern", "verdict", "length"]
+    cols = ["rule", "pattern", "verdict", "length", "own"]
     anyway = [r["rule_id"] for r in without.select("rule_id").collect()]  # at most MAX_UNINDEXED_RULES
     keys = F.array_union(F.transform(_tokens(F.col("url")), lambda t: F.concat(F.lit("t:"), t)),
                          F.array(*[F.lit(f"r:{i}") for i in anyway]).cast("array<string>"))
@@ -137,25 +145,24 @@ def candidates(urls: DataFrame, indexed: DataFrame) -> DataFrame:
             .join(small(rule_keys, MAX_BROADCAST_RULES), "key").drop("key"))
 
 
-def judge(pages: DataFrame, rules: Sequence[Rule], method_rules: Sequence[Rule] = METHOD_RULES, *,
+def judge(pages: DataFrame, rules: Sequence[Rule] | DataFrame, method_rules: Sequence[Rule] | DataFrame = METHOD_RULES, *,
           url: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule (NULL if none fits) and verdict columns appended.
 
     Fitting ``rules`` go first (longest wins); else any fitting method rule's verdict (block
-    first), else ``default``. Columns of ``pages`` with these names are replaced.
+    first), else ``default``. Both may be tables (``RULE_SCHEMA``) of any size. Columns of ``pages`` with these names are replaced.
     """
     spark = pages.sparkSession
     out = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     urls = pages.select(column(url).alias("url")).where("url is not null").distinct()
-    n = len(rules)
-    table = stored(rules_table(spark, [*rules, *method_rules]), "url-rules")
+    table = rules_table(spark, rules, method_rules)
     found = candidates(urls, index_rules(table, urls))
-    over = F.when(F.col("rule_id") < n, F.concat(host_of(F.col("url")), path_of(F.col("url")))).otherwise(
+    over = F.when(~F.col("own"), F.concat(host_of(F.col("url")), path_of(F.col("url")))).otherwise(
         ascii_lower(F.col("url")))
     fits = found.where(F.rlike(over, F.col("pattern")))
     # contract rules before the method's, longer before shorter, then the smallest text
     best = fits.groupBy("url").agg(F.min(F.struct(
-        (F.col("rule_id") >= n).alias("own"), (-F.col("length")).alias("shorter"), F.col("rule"),
+        "own", (-F.col("length")).alias("shorter"), F.col("rule"),
         (F.col("verdict") != "block").alias("allow"), F.col("verdict"))).alias("best"))
     judged = best.select(F.col("url").alias("_url"), F.when(~F.col("best.own"), F.col("best.rule")).alias("_rule"),
                          F.col("best.verdict").alias("_verdict"))

@@ -400,3 +400,23 @@ def test_rules_are_indexed_by_their_rarest_literal(spark):
     assert {r["url"] for r in got.where("verdict = 'block'").collect()} == {"http://b.example.org/es/1?q", "ftp://shop.com/de/y"}
     with pytest.raises(ValueError):
         url_filter.judge(urls, [], [any_url] * 101)
+
+
+def test_rules_as_tables(spark):
+    """Rules given as tables judge as the same rules in Python; marks in hosts and paths are no pattern."""
+    pages = spark.createDataFrame(list(enumerate([*URLS, "http://a.b+c.org/x(1)/y", "http://a-b+c.org/x(1)/y", "http://axb+c.org/x1/y"])), "page_id long, url string")
+    rules = [*url_filter.CONTRACT_RULES, url_filter.Rule("block", "a.b+c.org", "/x(1)/"), url_filter.Rule("block", "É.org"), url_filter.Rule("allow", "net", "")]
+    schema = "literals array<string>, verdict string, host string, path string, pattern string, note string"
+
+    def table(rs):
+        return spark.createDataFrame([(list(r.literals) or None, r.verdict, r.host or None, r.path or None, r.pattern or None, "x") for r in rs], schema)
+
+    columns = ("page_id", "host", "path", "rule", "verdict")
+    out = url_filter.judge(pages, table(rules), table(url_filter.METHOD_RULES))
+    no_python(out)
+    assert sorted_rows(out, *columns) == sorted_rows(url_filter.judge(pages, rules), *columns)
+    got = {r["url"]: (r["rule"], r["verdict"]) for r in out.collect()}
+    assert got["http://a.b+c.org/x(1)/y"] == ("a.b+c.org/x(1)/", "block") and got["http://a-b+c.org/x(1)/y"] == got["http://axb+c.org/x1/y"] == ("org/", "allow")
+    assert got["http://é.org/ü"] == ("É.org", "block") and got["http://cheap-pills.net/"] == ("net", "allow")
+    none = url_filter.judge(pages, table([]), table([])).select("verdict").distinct().collect()
+    assert [r[0] for r in none] == ["allow"]
