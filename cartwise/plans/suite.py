@@ -8,6 +8,7 @@ report the same type (the values are unchanged).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions.coerce import coerce_frame, to_decimal, to_integer, to_timestamp
 from ..functions.text import export_field
-from ..operators import league_points, load_batches, load_metrics, nearest_ancestor, table_counts, topk_sum_at_least
+from ..operators import league_points, load_batches, load_metrics, nearest_ancestor, table_counts, top_pairs, topk_sum_at_least
+from ..operators.metrics import staged_metrics
 from ..session import scratch_path
 from ..sources import driver
 from ..sources.catalog import load_sources
@@ -23,8 +25,8 @@ from ..sources.delimited import read_delimited_checked
 from ..specs import SPECS
 from . import reports
 from .export import top_cart_lines
-from .job import EXPORT_NAME, REPORTS, run_job
-from .prepare import prepare, prepare_all
+from .job import EXPORT_NAME, REPORTS, run_job, stage_prepared
+from .prepare import prepare, prepare_all, prepare_counted
 from .views import cart_enriched, cart_item_summary, cart_items
 
 TOP_N = 50
@@ -212,10 +214,10 @@ def q_ragged_rows(spark, sf_dir):
     return kept.unionByName(surplus)
 
 
-def q_load_rejects(spark, sf_dir):
-    """Load metrics of entries with NULL keys, junk numbers and dates."""
+def _entries_with_rejects(spark, sf_dir):
+    """Entries with NULL keys, junk numbers and dates."""
     li = driver.table(spark, sf_dir, "lineitem")
-    raw = li.selectExpr(
+    return li.selectExpr(
         "case when l_linenumber = 7 then null when l_linenumber = 6 then 'junk' else cast(l_orderkey * 8 + l_linenumber as string) end as pk",
         "case when l_returnflag = 'R' then '2024-13-01' else cast(l_shipdate as string) end as createdts",
         "cast(l_orderkey as string) as p_order", "concat(l_linenumber, '.0') as p_entrynumber",
@@ -223,7 +225,11 @@ def q_load_rejects(spark, sf_dir):
         "case when l_linestatus = 'O' then 'nan' else cast(l_quantity as string) end as p_quantity",
         "cast(l_extendedprice as string) as p_totalprice",
     )
-    return load_metrics(raw, SPECS["tb_cartentries"])
+
+
+def q_load_rejects(spark, sf_dir):
+    """Load metrics of entries with NULL keys, junk numbers and dates."""
+    return load_metrics(_entries_with_rejects(spark, sf_dir), SPECS["tb_cartentries"])
 
 
 def _write_sources(spark, sf_dir, base: str) -> None:
@@ -286,6 +292,58 @@ def q_stream_ingest(spark, sf_dir):
     return canon(stored_table(spark, f"{base}/target", spec))
 
 
+def q_staged_metrics(spark, sf_dir):
+    """Load metrics as a by-product of cleaning: sums over the counts per key that the staged tables carry."""
+    stage = scratch_path(spark, "staged-metrics")
+    raw = driver.source_tables(spark, sf_dir)
+    stage_prepared(raw, stage)
+    return reduce(DataFrame.unionByName, [staged_metrics(spark.read.parquet(f"{stage}/{name}"), SPECS[name]) for name in raw])
+
+
+def q_staged_rejects(spark, sf_dir):
+    """The metrics of ``load_rejects`` from the counted one-row-per-key table."""
+    spec = SPECS["tb_cartentries"]
+    return staged_metrics(prepare_counted(_entries_with_rejects(spark, sf_dir), spec), spec)
+
+
+def q_mixed_headers(spark, sf_dir):
+    """Orders in files whose headers order and extend the columns differently, read as one table."""
+    orders = driver.table(spark, sf_dir, "orders")
+    base = scratch_path(spark, "mixed-headers")
+    headers = (("o_orderkey", "o_custkey", "o_totalprice"), ("o_totalprice", "o_orderpriority", "o_custkey", "o_orderkey"), ("o_custkey", "o_totalprice", "o_orderkey", "o_orderpriority"))
+    for i, columns in enumerate(headers):
+        orders.where(F.pmod("o_orderkey", F.lit(3)) == i).select(*columns).write.option("header", True).option("sep", "|").csv(f"{base}/{i}")
+    rows, _ = read_delimited_checked(spark, f"{base}/*", list(headers[0]))
+    s = T.StringType()
+    return canon(rows.select(to_integer("o_orderkey", s).alias("o_orderkey"), to_integer("o_custkey", s).alias("o_custkey"), to_decimal("o_totalprice", s).alias("o_totalprice")))
+
+
+def q_sparse_lookups(spark, sf_dir):
+    """Lookups of carts of which nine in ten have no user and most no address."""
+    p = _prepared(spark, sf_dir)
+    carts = p["tb_carts"].withColumns({"p_user": F.expr("if(pk % 10 = 0, p_user, null)"), "p_paymentaddress": F.expr("if(pk % 7 = 0, p_paymentaddress, null)")})
+    return cart_enriched(p, need=("user_uid", "postal_code", "state"), carts=carts)
+
+
+def q_top_pairs_cut(spark, sf_dir):
+    """``top_pairs`` with baskets cut into lists of two products: their pairs come from lists that meet as well."""
+    return top_pairs(_items(spark, sf_dir), TOP_N, block=2)
+
+
+def q_stream_slots(spark, sf_dir):
+    """Arrivals by return flag into a target of many key slots; the first arrival that holds a key wins."""
+    from ..streaming.ingest import start_ingest, stored_table
+
+    spec = SPECS["tb_cartentries"]
+    base = scratch_path(spark, "stream-slots")
+    entries = driver.table(spark, sf_dir, "lineitem").selectExpr(*ENTRY_SQL, "coalesce(l_returnflag, '') as _flag")
+    for i, flag in enumerate("NRA"):
+        arrival = entries.where((F.col("_flag") == flag) if flag != "A" else ~F.col("_flag").isin("N", "R")).drop("_flag")
+        arrival.write.parquet(f"{base}/incoming/{i:04d}")
+        start_ingest(spark, f"{base}/incoming/*", arrival.schema, spec, f"{base}/target", f"{base}/_checkpoint", slot_width=1 << 18).awaitTermination()
+    return canon(stored_table(spark, f"{base}/target", spec))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_entries": q_dedup_entries,
     "insert_if_absent": q_insert_if_absent,
@@ -313,4 +371,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_files": q_source_files,
     "report_files": q_report_files,
     "stream_ingest": q_stream_ingest,
+    "staged_metrics": q_staged_metrics,
+    "staged_rejects": q_staged_rejects,
+    "mixed_headers": q_mixed_headers,
+    "sparse_lookups": q_sparse_lookups,
+    "top_pairs_cut": q_top_pairs_cut,
+    "stream_slots": q_stream_slots,
 }
