@@ -36,6 +36,7 @@ WIDE, NARROW = 0xFFFFFFFF, 0xFFFF
 EXACT = 16  # lanes modulo 2^32
 HASHES = 2  # 64 lanes modulo 2^16 each
 BUCKET_BYTES = 8 << 20
+TASK_BUCKETS = 8  # buckets to a task, where the session's shuffle partitions would be fewer
 MAX_CELLS = 256
 MAX_BUCKETS = 1 << 20
 OUT = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -139,6 +140,9 @@ def with_next(docs: DataFrame, carried: list[str], *, bucket_bytes: int = BUCKET
     rows = docs.select("*", F.col("id").isNull().alias("none"), F.xxhash64("body").alias("h"), F.monotonically_increasing_id().alias("rid"))
     guests = rows.join(F.broadcast(heads), F.col("rid") == F.col("head")).select(*rows.columns, F.col("before").alias("bucket"), F.lit(True).alias("guest"))
     both = rows.select("*", bucket, F.lit(False).alias("guest")).unionByName(guests)
+    tasks = math.ceil(wanted / TASK_BUCKETS)
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        both = both.repartition(tasks, "bucket")  # the window needs this exchange anyway
     after = F.lead(F.struct(*carried)).over(Window.partitionBy("bucket").orderBy("guest", *order))
     return both.select("*", after.alias("next")).where("not guest").drop("guest", "bucket", *[c for c in order if c != "id"])
 
