@@ -41,7 +41,7 @@ def _stripped(c: str) -> str:
 _WHOLE = r"^\\s*+([+-]?[0-9]++)(?:[.]0*+)?\\s*+$"  # an integer, perhaps with a fraction of zeros
 _START = r"^\\s*+[+-]?[.]?[0-9]"
 _FRACTION = r"^\\s*+[+-]?[0-9]*+[.]0*+[1-9][0-9]*+\\s*+$"  # plainly no integer
-_POWER = r"^\\s*+([+-]?[0-9]{1,9})[eE][+]?([0-9])\\s*+$"  # an integer times a power of ten, of 18 digits at most
+_POWER = r"^\\s*+[+-]?[0-9]{1,9}[eE][+]?[0-9]\\s*+$"  # an integer times a power of ten, of 18 digits at most
 _SCALED_UP = r"^\\s*+[+-]?(?=[.]?[0-9])[0-9]{0,20}(?:[.][0-9]{0,18})?[eE][+]?[0-9]\\s*+$"  # exact as decimal(38,18)
 _NUMBER = r"^\\s*+[+-]?(?=[.]?[0-9])([0-9]*+)(?:[.]([0-9]*+))?(?:[eE]([+-]?[0-9]++))?\\s*+$"
 
@@ -65,18 +65,17 @@ def _exactly_integral_text(t: str) -> str:
 
 
 def _integer_text_sql(c: str, target: str) -> str:
-    """Whole numbers are one extraction (a common subexpression of the generated code) and a cast. What else may be a
-    number goes to a function over an array of one: its variable binds the text once, and the generated code stays small."""
+    """Whole numbers are one extraction (a common subexpression of the generated code) and a cast; a whole number times a power of
+    ten is exact as a double; plain fractions are none. What else may be a number goes to a function over an array
+    of one: its variable binds the text once, and the generated code stays small."""
     u = f"regexp_extract({c}, '{_WHOLE}', 1)"
     digits = f"cast({u} as bigint)" if target == BIGINT else f"try_cast(cast({u} as bigint) as {target})"
-    power = f"try_cast(concat(regexp_extract(t, '{_POWER}', 1), repeat('0', cast(regexp_extract(t, '{_POWER}', 2) as int))) as {target})"
+    power = f"try_cast(cast({c} as double) as {target})"  # below 2^51 times a power of two
     d = f"try_cast(t as {_WIDE})"
     whole = f"if({d} = floor({d}), try_cast({d} as {target}), null)"
-    rest = (f"case when t rlike '{_FRACTION}' then null"
-            f" when t rlike '{_POWER}' then {power}"
-            f" when t rlike '{_SCALED_UP}' then {whole}"
-            f" when t rlike '{_NUMBER}' and {_exactly_integral_text('t')} then {whole} end")
-    return f"case when length({u}) between 1 and 18 then {digits} when {c} rlike '{_START}' then transform(array({c}), t -> {rest})[0] end"
+    rest = f"case when t rlike '{_SCALED_UP}' then {whole} when t rlike '{_NUMBER}' and {_exactly_integral_text('t')} then {whole} end"
+    return (f"case when length({u}) between 1 and 18 then {digits} when {c} rlike '{_POWER}' then {power}"
+            f" when {c} rlike '{_START}' and not ({c} rlike '{_FRACTION}') then transform(array({c}), t -> {rest})[0] end")
 
 
 def integer_sql(c: str, source: T.DataType, target: str = BIGINT) -> str:
@@ -96,7 +95,7 @@ def decimal_sql(c: str, source: T.DataType, target: str = "decimal(18,4)") -> st
     if isinstance(source, _FLOATING):
         return f"case when not isnan({c}) then try_cast({c} as {target}) end"
     if isinstance(source, _TEXT):
-        return f"try_cast({_stripped(c)} as {target})"
+        return f"if({c} rlike '[0-9]', try_cast({_stripped(c)} as {target}), null)"  # other text would cost an exception
     return f"try_cast({c} as {target})"
 
 
