@@ -22,6 +22,7 @@ are mapped one by one: repeated rows and NULLs in other columns pass through.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartwise.llm.common import ship
+from cartwise.llm.common import column, ship
 
 MAX_WORDS = 400_000
 SLICE_BYTES = 4 << 20
@@ -330,11 +331,28 @@ def decode(coded: DataFrame, model: Bpe, *, ids: str = "ids", text: str = "text"
 
 
 def digest(docs: DataFrame, model: Bpe, *, text: str = "text") -> DataFrame:
-    """Encode, decode, and return n_tokens with SHA-256 digests of the ids and of the decoded text."""
-    coded = decode(encode(docs, model, text=text, ids="ids"), model, ids="ids", text="_decoded")
-    keep = [c for c in coded.columns if c not in ("ids", "_decoded", "n_tokens", "ids_sha256", "decoded_sha256")]
-    return coded.select(
-        *keep, F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"))
+    """Encode, decode, and return n_tokens with SHA-256 digests of the ids and of the decoded text, in one pass of one
+    worker a task: neither the ids nor the decoded texts leave it."""
+    ship(docs.sparkSession)
+    names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    keep = [c for c in docs.columns if c not in (text, *names)]
+    given = docs.select(*[column(c) for c in keep], F.col(text).cast("binary").alias("_text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    fields = [T.StructField(n, T.LongType() if n == "n_tokens" else T.StringType()) for n in names]
+    schema = T.StructType([*given.schema.fields[:-1], *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, sha = shared.value, hashlib.sha256
+        coder, decimal = Encoder(model), [b"%d" % i for i in range(model.size)]
+        for b in batches:
+            texts = b.column(len(keep))
+            for lo, hi in slices(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()):
+                flat, at = coder.encode([x.decode("utf-8", "replace") for x in text_bytes(texts.slice(lo, hi - lo))])
+                data, ends = model.decode(flat, at)
+                ids = [sha(b",".join(map(decimal.__getitem__, flat[i:j].tolist()))).hexdigest() for i, j in zip(at.tolist(), at[1:].tolist())]
+                raw = memoryview(np.ascontiguousarray(data))
+                decoded = [sha(raw[i:j]).hexdigest() for i, j in zip(ends.tolist(), ends[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in b.columns[:len(keep)]), pa.array(np.diff(at), pa.int64()),
+                                                  pa.array(ids, pa.string()), pa.array(decoded, pa.string())], schema.names)
 
+    return given.mapInArrow(run, schema)
