@@ -147,8 +147,10 @@ def near(index: DataFrame, tests: Tests, slack: int, share: float) -> DataFrame:
     # the same words around are compared once
     seen = hits.select("rid", "window", F.slice("around", begin + 1, length).alias("part"),
                        (F.when(at > 0, F.slice("around", F.greatest(at, F.lit(1)), F.size("window"))) == F.col("window")).alias("whole"))
-    seen = seen.where(~F.coalesce("whole", F.lit(False))).select("rid", "window", "part").distinct()
-    return seen.where(common_in_order(F.col("part"), F.col("window")) >= F.ceil(F.size("window") * share)).select("rid", "window").distinct()
+    least = F.ceil(F.size("window") * share)
+    there = F.size(F.filter("window", lambda w: F.array_contains("part", w)))  # in any order: no fewer than in order, and cheap
+    seen = seen.where(~F.coalesce("whole", F.lit(False)) & (there >= least)).select("rid", "window", "part").distinct()
+    return seen.where(common_in_order(F.col("part"), F.col("window")) >= least).select("rid", "window").distinct()
 
 
 @dataclass(frozen=True)
