@@ -93,8 +93,10 @@ def top_pairs(
     probe_products: int | None = None,
     materialize: bool = True,
     block: int = BLOCK,
+    distinct: bool = False,
 ) -> DataFrame:
-    bp = basket_products(items, basket, product)
+    """``distinct``: ``items`` has one row for each basket and product already."""
+    bp = items.where(F.col(product).isNotNull()).select(basket, product) if distinct else basket_products(items, basket, product)
     if materialize:
         checkpoint_dir(bp.sparkSession)
         bp = bp.checkpoint(eager=True)

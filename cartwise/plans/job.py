@@ -1,8 +1,7 @@
 """Report runner and end-to-end job.
 
-Stage 1 cleans the 8 sources once and writes the prepared tables (and the entry-level
-``cart_items``) as plain Parquet to a staging folder on shared storage; stage 2 computes every
-report from those files, several at once. Reports never repeat the scan, coercion and de-duplication, lineage is
+Stage 1 cleans the 8 sources once and writes the prepared tables as plain Parquet to a staging
+folder on shared storage; stage 2 computes every report from those files, several at once. Reports never repeat the scan, coercion and de-duplication, lineage is
 cut at the staging boundary, and a lost executor repeats only tasks of the current stage. The staged
 tables are not bucketed: every wide operator then has an exchange whose skewed partitions AQE
 can split, and the number of files follows the data.
@@ -21,7 +20,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.metrics import staged_metrics, table_counts
-from ..operators.pairs import basket_products
 from ..session import SCALE_CONF, shuffle_partitions_for
 from ..sinks import write_lines, write_report
 from ..sources.catalog import load_sources, path_join
@@ -47,7 +45,7 @@ METRICS = ("rows_read", "null_keys", "duplicates", "rejected_values", "rows_kept
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -75,12 +73,11 @@ def together(spark: SparkSession, work: Mapping[str, Callable[[], object]], at_o
 
 
 def stage_prepared(raw: Mapping[str, DataFrame], stage_dir: str) -> dict[str, DataFrame]:
-    """Clean and write each source once (with its counts per key), then ``cart_items``. Returns the prepared tables."""
+    """Clean and write each source once (with its counts per key). Returns the prepared tables and ``cart_items``, a projection of them."""
     spark = next(iter(raw.values())).sparkSession
     counted = together(spark, {name: lambda n=name: _stage(prepare_counted(raw[n], SPECS[n]), path_join(stage_dir, n)) for name in raw})
     out = {name: without_counts(df, SPECS[name]) for name, df in counted.items()}
-    out["cart_items"] = _stage(cart_items(out["tb_cartentries"]), path_join(stage_dir, "cart_items"))
-    return out
+    return out | {"cart_items": cart_items(out["tb_cartentries"])}
 
 
 def register_views(prepared: Mapping[str, DataFrame], items: DataFrame) -> None:
@@ -95,19 +92,25 @@ def register_views(prepared: Mapping[str, DataFrame], items: DataFrame) -> None:
 def build_reports(
     prepared: Mapping[str, DataFrame], items: DataFrame, n: int = 50, stage_dir: str | None = None
 ) -> dict[str, DataFrame]:
-    """The 7 report frames by name. With ``stage_dir`` the shared intermediates (the (product, month)
-    aggregate of R3/R4/R6, the per-cart rollup of R5/R7 and the distinct basket products of R2) are
+    """The 7 report frames by name. With ``stage_dir`` the shared intermediates (the entries summed by product, cart and month
+    of R1/R2, the (product, month) aggregate of R3/R4/R6 made from them, and the per-cart rollup of R5/R7) are
     written once and read by their reports."""
-    stats = reports.product_month_stats(items)
     rollup = cart_enriched(prepared, items, need=reports.ROLLUP_NEED)
-    baskets = items
-    if stage_dir is not None:
-        shared = {"product_month_stats": stats, "cart_rollup": rollup, "basket_products": basket_products(items)}
-        written = together(items.sparkSession, {name: lambda n=name: _stage(shared[n], path_join(stage_dir, n)) for name in shared})
-        stats, rollup, baskets = written.values()
+    if stage_dir is None:
+        stats = reports.product_month_stats(items)
+        top, pairs = reports.top_products(items, n), reports.top_pairs(items, n)
+    else:
+        def entries() -> tuple[DataFrame, DataFrame]:
+            months = _stage(reports.basket_months(items), path_join(stage_dir, "basket_months"))
+            return months, _stage(reports.product_month_totals(months), path_join(stage_dir, "product_month_stats"))
+
+        written = together(items.sparkSession, {"basket_months": entries, "cart_rollup": lambda: _stage(rollup, path_join(stage_dir, "cart_rollup"))})
+        (months, stats), rollup = written.values()
+        top = reports.top_product_totals(months, n)
+        pairs = reports.top_pairs(months.where("first"), n, materialize=False, distinct=True)
     frames = (
-        reports.top_products(items, n),
-        reports.top_pairs(baskets, n, materialize=stage_dir is None),
+        top,
+        pairs,
         reports.rising_products(stats=stats, n=n),
         reports.first_month(stats=stats),
         reports.by_state(rollup),
@@ -139,7 +142,7 @@ def prepare_to(
     raw_tables: Mapping[str, DataFrame] | None = None,
     metrics: bool = True,
 ) -> dict[str, dict[str, int]]:
-    """Load the 8 sources, clean them and write them (plus ``cart_items``) to ``stage_dir``.
+    """Load the 8 sources, clean them and write them to ``stage_dir``.
 
     With ``metrics``, returns per table rows_read, null_keys, duplicates, rejected_values and rows_kept: sums over the
     counts per key that the written tables carry, so each source is read once, and exact also when
@@ -159,7 +162,7 @@ def _counted(spark: SparkSession, stage_dir: str, name: str) -> DataFrame:
 
 def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
     tables = {name: without_counts(_counted(spark, stage_dir, name), SPECS[name]) for name in SPECS}
-    return tables | {"cart_items": _counted(spark, stage_dir, "cart_items")}
+    return tables | {"cart_items": cart_items(tables["tb_cartentries"])}
 
 
 def reports_from(spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50, register: bool = False) -> None:

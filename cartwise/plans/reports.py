@@ -43,9 +43,38 @@ def top_products(items: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
+# The shared input of R1, R2 and R6 where it is worth writing
+def basket_months(items: DataFrame) -> DataFrame:
+    """The entries summed by product, cart and month; ``first`` marks one row of each product and cart.
+
+    One exchange, by product and cart, serves both the sums and the marks, and what is made from the marks
+    needs no distinct count.
+    """
+    sums = items.repartition("product_id", "cart_id").groupBy("product_id", "cart_id", "month").agg(
+        F.sum("quantity").alias("quantity"), F.sum("total_price").alias("total_price"))
+    w = Window.partitionBy("product_id", "cart_id").orderBy(_a("month"))
+    return sums.withColumn("first", F.row_number().over(w) == 1)
+
+
+def _totals(carts) -> tuple:
+    return (carts.alias("abandoned_carts"), F.sum("quantity").cast("decimal(28,4)").alias("abandoned_items"),
+            F.sum("total_price").cast("decimal(28,4)").alias("unrealized_revenue"))
+
+
+def top_product_totals(months: DataFrame, n: int = 50) -> DataFrame:
+    """R1 from ``basket_months``."""
+    return months.groupBy("product_id").agg(*_totals(F.count_if("first"))).orderBy(
+        _d("abandoned_carts"), _d("unrealized_revenue"), _a("product_id")).limit(n)
+
+
+def product_month_totals(months: DataFrame) -> DataFrame:
+    """``product_month_stats`` from ``basket_months``."""
+    return months.groupBy("product_id", "month").agg(*_totals(F.count("cart_id")))
+
+
 # R2
-def top_pairs(items: DataFrame, n: int = 50, materialize: bool = True) -> DataFrame:
-    return _top_pairs(items, n, materialize=materialize)
+def top_pairs(items: DataFrame, n: int = 50, materialize: bool = True, distinct: bool = False) -> DataFrame:
+    return _top_pairs(items, n, materialize=materialize, distinct=distinct)
 
 
 # R6 (also the shared input of R3 and R4)

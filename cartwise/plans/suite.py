@@ -240,7 +240,7 @@ def _write_sources(spark, sf_dir, base: str) -> None:
         if spec.fmt == "csv":
             df.write.option("header", True).option("sep", "|").csv(f"{base}/{spec.file}")
         else:
-            df.write.parquet(f"{base}/{spec.file}")
+            df.write.option("compression", "zstd").parquet(f"{base}/{spec.file}")
 
 
 def q_source_files(spark, sf_dir):
@@ -257,14 +257,19 @@ def q_source_files(spark, sf_dir):
 
 def _numbered(lines: DataFrame, skip: int) -> DataFrame:
     """(position, line): a report's lines with their place in it, over part files in name order, each without its first
-    ``skip`` lines. Lines are numbered within their file, and the numbers of lines of the files before it are added."""
-    at = F.row_number().over(Window.partitionBy("file_name").orderBy("at"))
-    within = lines.select("file_name", (at - skip).cast("bigint").alias("no"), F.col("value").alias("line")).where("no > 0")
+    ``skip`` lines. A file's lines in one task are numbered in a row already (``at``), so only their first number and how
+    many lines of the file, and of the files before it, come before them are added: a small table."""
+    task = F.shiftright("at", 33).alias("task")
+    runs = lines.groupBy("file_name", task).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("file_name").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("earlier", F.coalesce(earlier, F.lit(0)))
     sizes = lines.groupBy("file_name").agg((F.count("*") - skip).alias("n"))
     every = sizes.agg(F.collect_list(F.struct("file_name", "n"))).scalar()  # a pair per part file
     before = F.aggregate(F.filter("every", lambda f: f["file_name"] < F.col("file_name")), F.lit(0).cast("bigint"), lambda a, f: a + f["n"])
-    starts = sizes.select("file_name", every.alias("every")).select("file_name", before.alias("before"))
-    return within.join(starts, "file_name").select((F.col("before") + F.col("no")).alias("position"), "line")
+    starts = runs.select("file_name", "task", (F.col("earlier") - F.col("first") + 1 - skip).alias("shift"), every.alias("every")).select("file_name", "task", "shift", before.alias("before"))
+    within = lines.select("file_name", task, "at", F.col("value").alias("line")).join(F.broadcast(starts), ["file_name", "task"])
+    no = F.col("at") + F.col("shift")
+    return within.where(no > 0).select((F.col("before") + no).alias("position"), "line")
 
 
 def q_report_files(spark, sf_dir):

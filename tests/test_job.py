@@ -176,3 +176,32 @@ def test_report_lines_are_numbered_without_one_window(spark, tmp_path):
     assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "b"), (3, "c")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "windowspecdefinition(file_name" in plan.replace("#", " ").replace("file_name ", "file_name", 1) and plan.count("Window [") == 1
+
+
+def test_lines_of_a_file_read_by_several_tasks_are_not_shuffled(spark, tmp_path):
+    from cartwise.plans.suite import _numbered
+    from pyspark.sql import functions as F
+
+    want = []
+    for i, n in enumerate((40, 1, 25)):
+        (tmp_path / f"part-{i}.csv").write_text("header\n" + "".join(f"line {i} {j}\n" for j in range(n)))
+        want += [f"line {i} {j}" for j in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        lines = spark.read.text(str(tmp_path)).select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("at"))
+        assert lines.rdd.getNumPartitions() > 6
+        out = _numbered(lines, 1)
+        assert sorted(map(tuple, out.collect())) == list(enumerate(want, 1))
+        assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_the_job_writes_entries_once(spark, tmp_path):
+    """``cart_items`` is a projection of the staged entries, and the shared sums are the only other table by product."""
+    stage = tmp_path / "stage"
+    run_job(spark, None, str(tmp_path / "out"), 5, stage_dir=str(stage), raw_tables=driver.source_tables(spark, SF_SMALL))
+    names = {p.name for p in stage.iterdir()}
+    assert not names & {"cart_items", "basket_products"} and names >= {"basket_months", "product_month_stats", "cart_rollup"}

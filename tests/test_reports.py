@@ -98,3 +98,21 @@ def test_top_carts_rows_and_line_order(spark):
     items = cart_items(p["tb_cartentries"])
     assert len(reports.top_carts(p, items, 3).collect()) == 6
     assert [r.line for r in ordered_lines(top_cart_lines(p, items, 4)).collect()][0].startswith("10|")
+
+
+def test_reports_from_basket_months(spark):
+    """R1, R2 and the product months made from the written sums equal those made from the entries, with one exchange by product and cart."""
+    p = prepared(spark)
+    items = cart_items(p["tb_cartentries"])
+    again = items.unionByName(items.selectExpr(
+        "cart_id", "entry_id + 100 as entry_id", "product_id", "quantity", "total_price", "entry_number", "entry_created_ts",
+        "cast(add_months(month, 1) as date) as month"))  # products that a cart holds in two months
+    months = reports.basket_months(again)
+    assert reports.top_product_totals(months, 50).dtypes == reports.top_products(again, 50).dtypes
+    assert reports.top_product_totals(months, 50).collect() == reports.top_products(again, 50).collect()
+    assert reports.top_pairs(months.where("first"), 50, distinct=True).collect() == reports.top_pairs(again, 50).collect()
+    stats = reports.product_month_totals(months)
+    assert stats.dtypes == reports.product_month_stats(again).dtypes
+    assert sorted(stats.collect(), key=repr) == sorted(reports.product_month_stats(again).collect(), key=repr)
+    plan = reports.basket_months(again)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(product_id") == 1
