@@ -115,3 +115,28 @@ def test_streams_wider_than_the_separator(spark, model, tmp_path):
     tokens.tofile(tmp_path / "0.bin")
     blocks = separators.read_files(spark, str(tmp_path), end, block=2, kind="<u4")
     assert sorted_rows(separators.count_tokens(blocks, end, "<u4"), "start", "n_tokens", "ended") == [(0, 2, True), (3, 2, True), (6, 1, False)]
+
+
+def test_digests_hold_little_at_a_time(model):
+    """What a worker holds while it digests a batch does not grow with the batch; frequent resets of the table of words change nothing."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(("the", "of", "and", f"w{rng.randrange(3000)}")) for _ in range(400)).encode() for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([*texts[:-1], None], pa.binary())], ["doc_id", "_text"])
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    peaks, rows = [], []
+    for part in (batch.slice(0, 1000), batch):
+        tracemalloc.start()
+        rows.append([r for b in bpe.digests(iter([part]), model, names) for r in b.to_pylist()])
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert len(rows[1]) == 4000 and rows[1][:1000] == rows[0] and rows[1][-1]["n_tokens"] == 0
+    assert peaks[1] < peaks[0] + 15 and peaks[1] < 80, peaks
+    bpe.MAX_WORDS, most = 500, bpe.MAX_WORDS
+    try:
+        assert [r for b in bpe.digests(iter([batch]), model, names) for r in b.to_pylist()] == rows[1]
+    finally:
+        bpe.MAX_WORDS = most
