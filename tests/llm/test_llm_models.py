@@ -454,3 +454,32 @@ def test_repeated_and_shuffled_words_are_less_likely(spark, judged):
     rows = {r["doc_id"]: r for r in kneser_ney.classify(docs, labels).collect()}
     assert sum(rows[i]["kept"] for i in range(200)) == 200
     assert not any(rows[i]["kept"] for i in (*range(300, 305), *range(400, 403)))
+
+
+def test_all_trusted_rows_are_used(spark, monkeypatch):
+    """However many there are, one half trains the model and the other sets the thresholds."""
+    rng = random.Random(41)
+    docs = frame(spark, [(i, words(rng, 2), "en", "s", 0) for i in range(45_000)])
+    labels = spark.range(44_900).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    seen, keep = {}, kneser_ney.stored
+    monkeypatch.setattr(kneser_ney, "stored", lambda df, name: seen.setdefault(name, keep(df, name)))
+    _, scored = kneser_ney.fit(docs, labels)
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    taught = scored.where(half & (F.col("doc_id") < 44_900))
+    assert seen["kn-sample"].count() == taught.count() > 20_000
+    assert seen["kn-counts"].agg(F.sum("c")).first()[0] == taught.agg(F.sum("n_symbols")).first()[0]
+    held = scored.where(~half & (F.col("doc_id") < 44_900))
+    band = held.groupBy((F.col("n_symbols") < 120).alias("short")).agg((F.percentile_approx("perplexity", 0.99, 10_000) * 1.5).alias("t"))
+    assert sorted_rows(seen["kn-limits"].where("lang is null and short is not null").select("short", "threshold")) == sorted_rows(band)
+
+
+def test_counts_and_questions_come_from_one_scan(spark, judged):
+    """The same model as from two scans; NULL texts, repeated and NULL ids included."""
+    good, docs, _ = judged
+    docs = docs.union(docs.limit(7)).select("doc_id", "text")
+    sample = spark.createDataFrame([(i,) for i in range(20)], "id long")
+    got = kneser_ney.train(docs, kneser_ney.stored(sample, "t"))
+    g = kneser_ney.RUNNING
+    want = kneser_ney.probabilities(kneser_ney.ngrams_asked(docs, "text", g), kneser_ney.ngram_counts(docs.where("doc_id < 20"), "text", g), g)
+    columns = ("key", F.round("logp", 9))
+    assert sorted_rows(got, *columns) == sorted_rows(want, *columns)
