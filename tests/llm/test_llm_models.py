@@ -483,3 +483,24 @@ def test_counts_and_questions_come_from_one_scan(spark, judged):
     want = kneser_ney.probabilities(kneser_ney.ngrams_asked(docs, "text", g), kneser_ney.ngram_counts(docs.where("doc_id < 20"), "text", g), g)
     columns = ("key", F.round("logp", 9))
     assert sorted_rows(got, *columns) == sorted_rows(want, *columns)
+
+
+def test_large_models_are_looked_up_part_by_part(spark, judged, monkeypatch):
+    """A model over the bound of a broadcast gives the same scores, and no (document, n-gram) rows are shuffled for it."""
+    _, docs, labels = judged
+    docs = docs.union(docs.limit(5).withColumn("text", F.repeat("text", 40)))
+    columns = ("doc_id", "n_words", "n_symbols", "perplexity", "kept")
+    whole = sorted_rows(kneser_ney.classify(docs, labels), *columns)
+    counts = kneser_ney.ngram_counts(docs, "text", kneser_ney.RUNNING)
+    model = kneser_ney.stored(kneser_ney.probabilities(counts.select("key"), counts, kneser_ney.RUNNING), "t")
+    monkeypatch.setattr(kneser_ney, "MAX_BROADCAST_KEYS", -(-model.count() // 7))
+    monkeypatch.setattr(kneser_ney, "GROUP", 3000)
+    monkeypatch.setattr(kneser_ney, "PIECE", 1000)
+    parts, edges = kneser_ney._parts(model)
+    assert len(parts) == 7 == len(edges) + 1 and sum(len(p.value[0]) for p in parts) == model.count()
+    assert max(len(p.value[0]) for p in parts) <= kneser_ney.MAX_BROADCAST_KEYS + 1
+    plan = kneser_ney.perplexities(docs, model, grams=kneser_ney.RUNNING)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    got = sorted_rows(kneser_ney.classify(docs, labels), *columns)
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in whole]
+    assert all(a[3] == b[3] or abs(a[3] - b[3]) < 1e-9 * abs(b[3]) for a, b in zip(got, whole))
