@@ -504,3 +504,16 @@ def test_large_models_are_looked_up_part_by_part(spark, judged, monkeypatch):
     got = sorted_rows(kneser_ney.classify(docs, labels), *columns)
     assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in whole]
     assert all(a[3] == b[3] or abs(a[3] - b[3]) < 1e-9 * abs(b[3]) for a, b in zip(got, whole))
+
+
+def test_pipeline_quality_never_joins_a_row_per_byte(spark, judged, monkeypatch, tmp_path):
+    """Disk: the first stage over a model of several parts keeps the same rows without (document, n-gram) rows."""
+    import corpus_pipeline
+
+    _, docs, labels = judged
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = lambda: sorted_rows(corpus_pipeline.quality(spark, docs, str(tmp_path)), "doc_id", "text")
+    whole = kept()
+    monkeypatch.setattr(kneser_ney, "MAX_BROADCAST_KEYS", 500)
+    monkeypatch.setattr(kneser_ney, "_perplexities_joined", lambda *a: pytest.fail("joined"))
+    assert kept() == whole and whole
