@@ -18,6 +18,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.metrics import staged_metrics, table_counts
 from ..session import SCALE_CONF, shuffle_partitions_for
@@ -27,7 +28,7 @@ from ..specs import SPECS
 from . import reports
 from .export import top_cart_lines
 from .prepare import prepare_counted, without_counts
-from .views import cart_enriched, cart_item_summary, cart_items
+from .views import CountedTables, cart_enriched, cart_item_summary, cart_items
 
 # Report names (output folder names), and whether a report is small enough for one file.
 REPORTS = {
@@ -40,6 +41,7 @@ REPORTS = {
     "relatorio_diario": False,
 }
 EXPORT_NAME = "top_50_carrinhos.txt"
+LOOKUPS = ("tb_regions", "tb_paymentmodes", "tb_cmssitelp", "tb_users", "tb_paymentinfos", "tb_addresses")
 AT_ONCE = 4  # reports (or tables) that run side by side
 METRICS = ("rows_read", "null_keys", "duplicates", "rejected_values", "rows_kept")
 
@@ -161,8 +163,11 @@ def _counted(spark: SparkSession, stage_dir: str, name: str) -> DataFrame:
 
 
 def staged_tables(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
-    tables = {name: without_counts(_counted(spark, stage_dir, name), SPECS[name]) for name in SPECS}
-    return tables | {"cart_items": cart_items(tables["tb_cartentries"])}
+    """The staged tables and ``cart_items``; lookup tables are counted, from the files' footers."""
+    counted = {name: _counted(spark, stage_dir, name) for name in SPECS}
+    rows = reduce(DataFrame.unionByName, [counted[n].agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in LOOKUPS]).collect()  # a row each
+    tables = {name: without_counts(df, SPECS[name]) for name, df in counted.items()}
+    return CountedTables(tables | {"cart_items": cart_items(tables["tb_cartentries"])}, {r["name"]: r["n"] for r in rows})
 
 
 def reports_from(spark: SparkSession, stage_dir: str, output_dir: str, top_limit: int = 50, register: bool = False) -> None:

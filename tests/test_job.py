@@ -205,3 +205,32 @@ def test_the_job_writes_entries_once(spark, tmp_path):
     run_job(spark, None, str(tmp_path / "out"), 5, stage_dir=str(stage), raw_tables=driver.source_tables(spark, SF_SMALL))
     names = {p.name for p in stage.iterdir()}
     assert not names & {"cart_items", "basket_products"} and names >= {"basket_months", "product_month_stats", "cart_rollup"}
+
+
+def test_lookups_are_broadcast_by_rows_not_by_compressed_bytes(spark, tmp_path, monkeypatch):
+    """Staged tables are a few bytes a row on disk and over a hundred in the driver, so only counted ones are broadcast."""
+    from cartwise.plans import reports, views
+    from cartwise.plans.job import prepare_to, staged_tables
+
+    n = 3000  # its files are far below the planner's threshold
+    raw = {k: v for k, v in driver.source_tables(spark, SF_SMALL).items()}
+    raw["tb_addresses"] = spark.range(n).selectExpr("id as pk", "cast(id % 31 as bigint) as p_region", "'12345' as p_postalcode")
+    raw["tb_users"] = spark.range(n).selectExpr("id as pk", "concat('u', id) as p_uid")
+    prepare_to(spark, None, str(tmp_path / "stage"), raw, metrics=False)
+
+    def answers():
+        staged = staged_tables(spark, str(tmp_path / "stage"))
+        items = staged.pop("cart_items")
+        need = ("cart_id", "user_uid", "state", "postal_code", "site_name")
+        df = views.cart_enriched(staged, items, need=need)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        export = reports.top_carts(staged, items, 5)
+        return staged.rows, plan, sorted(map(str, df.collect())), list(map(str, export.collect()))
+
+    rows, small_plan, whole, export = answers()
+    assert rows["tb_users"] == rows["tb_addresses"] == n and rows["tb_regions"] == 25
+    assert small_plan.count("BroadcastHashJoin") == 4
+    monkeypatch.setattr(views, "MAX_LOOKUP_ROWS", n - 1)
+    _, plan, got, again = answers()
+    assert plan.count("SortMergeJoin") == plan.count("BroadcastHashJoin") == 2  # users and addresses; regions and sites
+    assert got == whole and again == export and len(got) > 0
